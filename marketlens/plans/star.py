@@ -156,3 +156,10 @@ def reviews(spark: SparkSession, sf: str) -> DataFrame:
     return unique.join(orders, unique.l_orderkey == orders.o_orderkey).selectExpr(
         "review_id", "o_custkey as customer_id", "product_id", "seller_id", "1 + cast(l_quantity as int) % 5 as rating", "purchased_at"
     )
+
+
+def offer_names(spark: SparkSession, sf: str) -> DataFrame:
+    """(product_id, seller_id, product_name) of every offer."""
+    offers = table(spark, sf, "lineitem").selectExpr("l_partkey as product_id", "l_suppkey as seller_id").distinct()
+    names = table(spark, sf, "part").selectExpr("p_partkey as product_id", "p_name as product_name")
+    return offers.join(names, "product_id")

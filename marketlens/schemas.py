@@ -1,4 +1,4 @@
-"""Explicit schemas of the raw documents and declared specs of the warehouse tables.
+"""Explicit schemas (as DDL text) of the raw documents and declared specs of the warehouse tables.
 
 The raw schemas carry the field names of the crawled documents, the specs carry the column
 names, types, keys and defaults of the warehouse; both are fixed values.
@@ -8,18 +8,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import types as T
-
 CORRUPT = "_corrupt_record"
 
-
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
 # Flags arrive as true/false or 0/1, so they are read as text and cast later.
-PRODUCT_DOC = _schema(
-    """
+PRODUCT_DOC = """
     id bigint, sku string, name string, short_url string, description string,
     images array<struct<base_url:string>>,
     specifications array<struct<attributes:array<struct<name:string,value:string>>>>,
@@ -34,32 +26,27 @@ PRODUCT_DOC = _schema(
     rating_average double, review_count int,
     current_seller struct<store_id:bigint,id:bigint,sku:string,name:string,link:string,logo:string>,
     warranty_info array<struct<name:string,value:string>>
-    """
-)
+"""
 
-SELLER_DOC = _schema(
-    """
+SELLER_DOC = """
     data struct<seller:struct<id:bigint,name:string,icon:string,url:string,
         avg_rating_point:double,review_count:int,total_follower:int,
         days_since_joined:int,is_official:boolean,store_level:string>>
-    """
-)
+"""
 
-REVIEW_DOC = _schema(
-    """
+REVIEW_DOC = """
     data array<struct<id:bigint,product_id:bigint,seller:struct<id:bigint>,title:string,
         content:string,status:string,thank_count:int,rating:int,created_at:bigint,
         customer_id:bigint,
         created_by:struct<full_name:string,purchased_at:bigint,avatar_url:string,
             contribute_info:struct<summary:struct<joined_time:string,total_review:int,
                 total_thank:int>>>>>
-    """
-)
+"""
 
-LISTING_DOC = _schema("data array<struct<id:bigint,seller_product_id:bigint,seller_id:bigint>>")
+LISTING_DOC = "data array<struct<id:bigint,seller_product_id:bigint,seller_id:bigint>>"
 
-CATEGORIES_CSV = _schema("title string, slug string, category_id bigint")
-TRACKING_CSV = _schema("pid bigint, spid bigint, seller_id bigint, category_id bigint, slug string")
+CATEGORIES_CSV = "title string, slug string, category_id bigint"
+TRACKING_CSV = "pid bigint, spid bigint, seller_id bigint, category_id bigint, slug string"
 
 DOCUMENT_KINDS = {
     "products": ("product*.json*", PRODUCT_DOC),

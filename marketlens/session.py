@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE sizes the reduce side at run time, turns a sort-merge join into a broadcast join
 # only after it has measured the small side, and splits the partition of a hot join key.
@@ -17,6 +17,7 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -48,3 +49,10 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for plans that use it twice."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

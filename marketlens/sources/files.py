@@ -32,7 +32,7 @@ def scan_documents(spark: SparkSession, root: str, kind: str) -> DataFrame:
         raise ValueError(f"unknown document kind {kind!r}; use one of {sorted(DOCUMENT_KINDS)}")
     pattern, schema = DOCUMENT_KINDS[kind]
     return (
-        spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+        spark.read.schema(f"{schema}, {CORRUPT} string")
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
@@ -46,7 +46,7 @@ def scan_documents(spark: SparkSession, root: str, kind: str) -> DataFrame:
 def parse_documents(texts: DataFrame, text: str, kind: str) -> DataFrame:
     """Same columns as :func:`scan_documents`, from a column of JSON text."""
     schema = DOCUMENT_KINDS[kind][1]
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    full = f"{schema}, {CORRUPT} string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     return texts.withColumn("_doc", F.from_json(F.col(text), full, options)).select(
         *[c for c in texts.columns if c != text], "_doc.*"
@@ -64,7 +64,7 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
@@ -92,7 +92,7 @@ def read_words(spark: SparkSession, path: str) -> DataFrame:
     return lines.filter(F.col("token") != "").distinct()
 
 
-def read_or_create(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_or_create(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The CSV table at ``path``; written empty first when there is none."""
     if not path_exists(spark, path):
         write_csv(spark.createDataFrame([], schema), path)

@@ -17,7 +17,7 @@ from marketlens.sources.versions import is_loaded, publish, read_current
 def run_available(
     spark: SparkSession,
     root: str,
-    schema: T.StructType,
+    schema: T.StructType | str,
     handle: Callable[[DataFrame, int], None],
     checkpoint: str,
     fmt: str = "json",
@@ -38,7 +38,7 @@ def run_available(
     query.awaitTermination()
 
 
-def read_tracking(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_tracking(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Keys of all batches so far; empty before the first."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
