@@ -56,3 +56,18 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores when its input is less than one file split per core.
+
+    Few large row groups would otherwise keep costly per-row work on few cores. Input of the
+    size a cluster is made for is above the limit and is not moved.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes").lower().replace("bytes", "")
+    )
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * split else df
