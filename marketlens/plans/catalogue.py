@@ -14,7 +14,7 @@ from marketlens.operators import checks, collab, documents, keys, load, profile,
 from marketlens.plans import gold, silver, star
 from marketlens.plans.warehouse import load_warehouse, open_warehouse
 from marketlens.schemas import WAREHOUSE, Column, TableSpec
-from marketlens.session import fresh_path, staged
+from marketlens.session import fresh_path, spread, staged
 from marketlens.sources import files
 from marketlens.sources.versions import read_current
 from marketlens.streaming import incremental
@@ -173,7 +173,7 @@ def json_extract_events(spark: SparkSession, sf: str) -> DataFrame:
 def _product_documents(spark: SparkSession, sf: str) -> DataFrame:
     """One product document per part as JSON text; some unreadable, some without category."""
     pair = "struct<name:string,value:string>"
-    doc = star.table(spark, sf, "part").selectExpr(
+    doc = spread(star.table(spark, sf, "part")).selectExpr(
         "p_partkey",
         "p_size",
         f"""to_json(named_struct(
@@ -456,7 +456,7 @@ def length_violations(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def decimal_conformance(spark: SparkSession, sf: str) -> DataFrame:
     types = {"l_extendedprice": "decimal(6,2)", "l_quantity": "decimal(2,1)", "l_discount": "decimal(4,3)"}
-    return checks.decimal_conformance(star.table(spark, sf, "lineitem"), types)
+    return checks.decimal_conformance(spread(star.table(spark, sf, "lineitem").select(*types)), types)
 
 
 @query
@@ -518,7 +518,7 @@ def recent_purchases_top5(spark: SparkSession, sf: str) -> DataFrame:
 def normalized_text(spark: SparkSession, sf: str) -> DataFrame:
     docs = star.table(spark, sf, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "text")
     pages = star.table(spark, sf, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("text"))
-    return docs.unionByName(pages).select("kind", "id", TX.normalize_text(F.col("text")).alias("text"))
+    return spread(docs.unionByName(pages)).select("kind", "id", TX.normalize_text(F.col("text")).alias("text"))
 
 
 @query

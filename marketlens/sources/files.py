@@ -30,27 +30,21 @@ def scan_documents(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """
     if kind not in DOCUMENT_KINDS:
         raise ValueError(f"unknown document kind {kind!r}; use one of {sorted(DOCUMENT_KINDS)}")
-    pattern, schema = DOCUMENT_KINDS[kind]
-    return (
-        spark.read.schema(f"{schema}, {CORRUPT} string")
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(root)
-        .withColumn("path", F.col("_metadata.file_path"))
+    texts = (
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", DOCUMENT_KINDS[kind][0])
+        .text(root, wholetext=True)
     )
+    return parse_documents(texts.select(F.col("_metadata.file_path").alias("path"), "value"), "value", kind)
 
 
 def parse_documents(texts: DataFrame, text: str, kind: str) -> DataFrame:
-    """Same columns as :func:`scan_documents`, from a column of JSON text."""
-    schema = DOCUMENT_KINDS[kind][1]
-    full = f"{schema}, {CORRUPT} string"
+    """The columns of the documents in the JSON column ``text``, next to the other columns."""
+    full = f"{DOCUMENT_KINDS[kind][1]}, {CORRUPT} string"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return texts.withColumn("_doc", F.from_json(F.col(text), full, options)).select(
-        *[c for c in texts.columns if c != text], "_doc.*"
-    )
+    # A generator keeps later filters above the parser, which then runs once per document.
+    parsed = F.inline(F.array(F.from_json(F.col(text), full, options)))
+    return texts.select(*[c for c in texts.columns if c != text], parsed)
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
