@@ -37,14 +37,20 @@ def keep_one_complete(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return keep_one(df.na.drop(), keys)
 
 
-def existing(df: DataFrame, reference: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key occurs in ``reference``."""
-    return df.join(reference.select(*keys).distinct(), list(keys), "left_semi")
+def _reference(reference: DataFrame, keys: Sequence[str], unique: bool) -> DataFrame:
+    """Keys to test against; repeats are merged before the join unless there are none."""
+    chosen = reference.select(*keys)
+    return chosen if unique else chosen.distinct()
 
 
-def unknown(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key does not occur in ``known``."""
-    return df.join(known.select(*keys).distinct(), list(keys), "left_anti")
+def existing(df: DataFrame, reference: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
+    """Rows whose key occurs in ``reference``; ``unique`` says it holds each key once."""
+    return df.join(_reference(reference, keys, unique), list(keys), "left_semi")
+
+
+def unknown(df: DataFrame, known: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
+    """Rows whose key does not occur in ``known``; ``unique`` says it holds each key once."""
+    return df.join(_reference(known, keys, unique), list(keys), "left_anti")
 
 
 def append_rows(table: DataFrame, rows: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ def silver_sellers(sellers: DataFrame, order: Sequence[Column] = ()) -> DataFram
 
 def silver_products(products: DataFrame, sellers: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
     """Products of known sellers. The seller test drops whole keys, so it can come first."""
-    known = existing(products, sellers, ["seller_id"])
+    known = existing(products, sellers, ["seller_id"], unique=True)
     return clean_products(keep_one(known, PRODUCT_KEYS, order)).select(*PRODUCT_COLUMNS)
 
 
@@ -55,7 +55,7 @@ def clean_products(products: DataFrame) -> DataFrame:
 
 def silver_reviews(reviews: DataFrame, products: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
     """Reviews of known products, one row per review."""
-    known = existing(reviews, products, PRODUCT_KEYS)
+    known = existing(reviews, products, PRODUCT_KEYS, unique=True)
     return clean_reviews(keep_one(known, ["review_id"], order)).select(*REVIEW_COLUMNS)
 
 

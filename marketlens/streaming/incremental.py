@@ -59,7 +59,7 @@ def new_keys_only(tracking: str, keys: Sequence[str], handle: Callable[[DataFram
         seen = read_tracking(spark, tracking, schema).filter(
             ~F.col("_metadata.file_path").contains(f"/batch={batch_id}/")
         ) if path_exists(spark, tracking) else spark.createDataFrame([], schema)
-        fresh = unknown(batch, seen, keys)
+        fresh = unknown(batch, seen, keys, unique=True)
         handle(fresh, batch_id)
         fresh.select(*keys).distinct().write.mode("overwrite").parquet(mine)
 
@@ -68,7 +68,7 @@ def new_keys_only(tracking: str, keys: Sequence[str], handle: Callable[[DataFram
 
 def track(tracking: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Candidates not tracked yet, and the tracking table with them added."""
-    fresh = unknown(candidates, tracking, keys)
+    fresh = unknown(candidates, tracking, keys, unique=True)
     return fresh, append_rows(tracking, fresh.select(*tracking.columns))
 
 
