@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
-from marketlens.plans.catalogue import TABLES
+from marketlens.plans.catalogue import QUERIES, TABLES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -21,14 +21,14 @@ def sql():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sql, name):
     _, n, verdict = check.compare(spark, sql, name, SF)
     assert n > 0 and verdict in ("ok", "rows only"), verdict
 
 
 def test_only_the_factorisation_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"als_recommendations", "als_user_top5"}
+    assert set(QUERIES) - set(entry.oracle_sql()) == {"als_recommendations", "als_user_top5"}
 
 
 def test_entry(spark):
