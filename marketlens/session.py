@@ -51,10 +51,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back, for plans that use it twice."""
+def staged(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for plans that use it twice.
+
+    ``by`` names a column with few values whose rows are read apart later.
+    """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return df.sparkSession.read.parquet(path)
 
 
