@@ -76,14 +76,23 @@ def _hash_many(words: list[bytes]) -> list[int]:
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of all runs of ``n`` words, given the hashes of the words."""
+    """Hashes of all runs of ``n`` words, given the hashes of the words.
+
+    A run's polynomial hash is put together from those of runs of 1, 2, 4 ... words.
+    """
     count = len(words) - n + 1
     if count < 1:
         return np.zeros(0, np.uint64)
-    out = np.zeros(count, np.uint64)
-    for k in range(n):
-        out = out * _ODD + words[k : k + count]
-    return mixed(out)
+    out, done = np.zeros(count, np.uint64), 0
+    part, length, power = words, 1, int(_ODD)
+    while True:
+        if n & length:
+            out = out * np.uint64(power) + part[done : done + count]
+            done += length
+        if done == n:
+            return mixed(out)
+        part = part[:-length] * np.uint64(power) + part[length:]
+        length, power = 2 * length, power * power % (1 << 64)
 
 
 def crc_part(doc_id: Column, parts: int) -> Column:

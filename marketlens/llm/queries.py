@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marketlens.llm import rules, rules_sql, secrets
-from marketlens.llm.common import table
+from marketlens.llm import html, langid, quality, rules, rules_sql, secrets, warc
+from marketlens.llm.common import crc_part, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -17,11 +18,37 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+@query
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held_out = crc_part(F.col("doc_id"), 5) == 0
+    prototypes = langid.fit_prototypes(docs, ~held_out)
+    return langid.predict_language(docs, prototypes, {"held_out": held_out})
+
+
+@query
+def op3_warc_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf, "pages"))
+
+
 @query
 def op5_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf, "documents"))
 
 
+@query
+def op6_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    held_out = crc_part(F.col("doc_id"), 3) == 1
+    model = quality.fit_model(docs, table(spark, sf, "labels"), ~held_out)
+    return quality.score_quality(docs, model, {"held_out": held_out})
+
+
+@query
+def op9_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html.extract_text(table(spark, sf, "pages"))
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf, "documents"))
