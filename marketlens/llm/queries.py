@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import html, langid, quality, rules, rules_sql, secrets, warc
+from marketlens.llm import decontaminate, html, jaccard, langid, mixing, mixing_sql, quality, rules, rules_sql, secrets, substrings, warc
 from marketlens.llm.common import crc_part, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,13 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+@query
+def op1_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf, "documents").select("doc_id", "text", "source", "lang"))
+    rounded = [F.round(c, 6).alias(c) for c in ("weight", "probability")]
+    return mixed.select("doc_id", "source", "lang", "topic", "tokens", *rounded, "sampled")
+
+
 @query
 def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
@@ -31,6 +38,11 @@ def op3_warc_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return warc.round_trip(table(spark, sf, "pages"))
 
 
+@query
+def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query
 def op5_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf, "documents"))
@@ -44,6 +56,16 @@ def op6_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score_quality(docs, model, {"held_out": held_out})
 
 
+@query
+def op7_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf, "documents"))
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, sf, "documents"))
+
+
 @query
 def op9_main_text(spark: SparkSession, sf: str) -> DataFrame:
     return html.extract_text(table(spark, sf, "pages"))
@@ -51,7 +73,7 @@ def op9_main_text(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
-    return rules.quality_rules(table(spark, sf, "documents"))
+    return rules.quality_rules(table(spark, sf, "documents")).withColumn("p_good", F.round("p_good", 6))
 
 
-ORACLES: dict[str, str] = {"op10_quality_rules": rules_sql.sql()}
+ORACLES: dict[str, str] = {"op1_source_mix": mixing_sql.sql(), "op10_quality_rules": rules_sql.sql()}

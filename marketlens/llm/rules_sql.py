@@ -66,6 +66,6 @@ def sql() -> str:
     pats AS MATERIALIZED (SELECT {names}, count(*) AS n FROM voted WHERE n_words >= {MIN_WORDS} GROUP BY ALL),
     {", ".join(rounds)}
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-        NOT base_failed AND p_good >= 0.5 AS kept, p_good
+        NOT base_failed AND p_good >= 0.5 AS kept, round(p_good, 6) AS p_good
     FROM (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed, {_posterior()} AS p_good
           FROM voted, fit{ROUNDS})"""
