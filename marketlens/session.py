@@ -58,7 +58,7 @@ def staged(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path, partitionBy=by)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
