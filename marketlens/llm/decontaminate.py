@@ -1,7 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 The n-grams of the test items are counted in all documents. An item's seeds are its n-grams that few
-documents hold, and in any case the rarer half of them. Documents meet an item where they share
+documents hold, and those that are not much more frequent than the item's n-grams are in general: where
+an item is copied often, its own n-grams are frequent and still tell its copies. Documents meet an item where they share
 seeds; around the shared seeds, passage and item are aligned word by word with the local alignment of
 Smith and Waterman, so copies with words replaced, added or left out keep a high score. The score is
 the alignment's score as a share of the full score of the item.
@@ -61,14 +62,15 @@ class Index:
         self.seed = np.ones(len(self.grams), bool)
 
     def choose_seeds(self, held_by: np.ndarray, rare: float) -> None:
-        """``held_by``: documents per n-gram. Seeds are held by few, or are in the rarer half of an item."""
+        """``held_by``: documents per n-gram. Seeds are held by few, or by no more than twice the item's median."""
         self.seed = held_by <= rare
         gram = np.repeat(np.arange(len(self.grams)), np.diff(self.bounds))
         order = np.argsort(self.owner, kind="stable")
         gram, cuts = gram[order], np.searchsorted(self.owner[order], np.arange(len(self.items) + 1))
         for item in range(len(self.items)):
-            own = np.unique(gram[cuts[item] : cuts[item + 1]])
-            self.seed[own[np.argsort(held_by[own], kind="stable")][: (len(own) + 1) // 2]] = True
+            own = gram[cuts[item] : cuts[item + 1]]
+            if len(own):
+                self.seed[own[held_by[own] <= 2 * np.median(held_by[own])]] = True
 
     def numbers(self, text: bytes, known: dict[bytes, int]) -> np.ndarray:
         """The words' numbers: 0 for words of no item, -1 for words that are all punctuation."""

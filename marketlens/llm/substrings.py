@@ -203,7 +203,8 @@ def repeated_windows(parts: DataFrame) -> DataFrame:
     """(number, start) of the windows met once in their slice that occur elsewhere too."""
     by_anchor = parts.repartition("anchor").withColumn("of_anchor", F.count("*").over(W.partitionBy("anchor")))
     several = by_anchor.filter("of_anchor > 1")
-    windows = several.select("anchor", "number", F.explode(F.arrays_zip(F.col("windows").alias("w"), F.col("starts").alias("s"))).alias("x"))
+    starts = F.coalesce("starts", F.array().cast("array<int>"))
+    windows = several.select("anchor", "number", F.explode(F.arrays_zip(F.col("windows").alias("w"), starts.alias("s"))).alias("x"))
     counted = windows.select("anchor", "number", F.col("x.w").alias("w"), F.col("x.s").alias("s"))
     # A row without a number stands for two or more windows, one with a number for one.
     again = W.partitionBy("anchor", "w")
