@@ -69,6 +69,7 @@ class Index:
         gram, cuts = gram[order], np.searchsorted(self.owner[order], np.arange(len(self.items) + 1))
         for item in range(len(self.items)):
             own = gram[cuts[item] : cuts[item + 1]]
+            own = own[held_by[own] > 0]
             if len(own):
                 self.seed[own[held_by[own] <= 2 * np.median(held_by[own])]] = True
 
