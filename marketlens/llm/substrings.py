@@ -41,6 +41,9 @@ WINDOW = 35
 RUN = 8
 DEPTH = 4
 MOST_WIDTH = 1 << 25
+# What a task holds at a time: bytes of text, and words whose hashes it remembers.
+SLICE = 3 << 20
+WORDS = 150_000
 
 
 class Windows:
@@ -78,8 +81,8 @@ def _sketch(docs: DataFrame, text: str) -> sketch.Sketch:
     width = sketch.width_for(sketch.text_bytes(docs, text) / 85, most=MOST_WIDTH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, found, held = Hashes(), [], 0
-        for batch in slices(batches, text):
+        hashes, found, held = Hashes(WORDS), [], 0
+        for batch in slices(batches, text, SLICE):
             found.append(sketch.cells(Windows(texts(batch, text), hashes).anchors(), width, DEPTH).ravel())
             held += len(found[-1])
             if held > 4_000_000:
@@ -116,8 +119,8 @@ def _passed(docs: DataFrame, estimates: sketch.Sketch, text: str) -> DataFrame:
     arrow = to_arrow_type(docs.schema[key].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, number = Hashes(), TaskContext.get().partitionId() << 40
-        for batch in slices(batches, text):
+        hashes, number = Hashes(WORDS), TaskContext.get().partitionId() << 40
+        for batch in slices(batches, text, SLICE):
             data = texts(batch, text)
             found = Windows(data, hashes)
             places, which = np.unique(found.anchor, return_inverse=True)
@@ -185,7 +188,7 @@ def _finish(rows: DataFrame, key_kind: str) -> DataFrame:
     """Open documents with all their repeats known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE):
             out = []
             starts, more = column(batch, "starts").to_pylist(), column(batch, "more").to_pylist()
             for t, a, b in zip(texts(batch), starts, more, strict=True):
