@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 # Words are runs of characters other than the six ASCII blanks; bytes.split() cuts UTF-8 the same way.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,23 +57,25 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Hashes:
     """64-bit hashes of words, equal in every process, remembered up to a number of words."""
 
-    def __init__(self, most: int = 400_000):
-        self.most, self.known = most, {}
+    def __init__(self, most: int = 150_000):
+        self.most, self.known = most, Known(xxh3_64_intdigest)
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        fresh = [w for w in set(words) if w not in known]
-        if fresh:
-            known.update(zip(fresh, _hash_many(fresh), strict=True))
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        if len(self.known) > self.most:
+            self.known.clear()
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
 
-def _hash_many(words: list[bytes]) -> list[int]:
-    from xxhash import xxh3_64_intdigest
+class Known(dict):
+    """Values of words, found once each by ``value``."""
 
-    return [xxh3_64_intdigest(w) for w in words]
+    def __init__(self, value: Callable[[bytes], int]):
+        super().__init__()
+        self.value = value
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = self.value(word)
+        return found
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:

@@ -27,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from marketlens.llm.common import FOLD, _hash_many, column, mixed, slices, texts
+from marketlens.llm.common import FOLD, column, mixed, slices, texts
 from marketlens.llm.langid import bounded_sample
 
 DIMENSIONS = 64
@@ -54,7 +55,7 @@ def shape(word: bytes) -> bytes:
 def index_vectors(tokens: list[bytes]) -> np.ndarray:
     """Sparse vectors with ``NONZERO`` entries of +1 or -1, drawn from the tokens' hashes."""
     out = np.zeros((len(tokens), DIMENSIONS), np.float32)
-    state = np.array(_hash_many(tokens), np.uint64)
+    state = np.array([xxh3_64_intdigest(t) for t in tokens], np.uint64)
     rows = np.arange(len(tokens))
     for _ in range(NONZERO):
         state = mixed(state + np.uint64(0x9E3779B97F4A7C15))

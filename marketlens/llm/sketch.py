@@ -91,7 +91,10 @@ class Sketch:
 
     def mean_shared(self) -> float:
         """Mean count of a cell counted twice or more, as seen by what falls into it."""
-        n = np.bincount(np.concatenate([self.packed & 15, self.packed >> 4]), minlength=16)[2:]
+        pairs = np.zeros(256, np.int64)
+        for at in range(0, len(self.packed), 1 << 20):
+            pairs += np.bincount(self.packed[at : at + (1 << 20)], minlength=256)
+        n = (pairs.reshape(16, 16).sum(0) + pairs.reshape(16, 16).sum(1))[2:]
         return float((n * LEVELS[2:] ** 2).sum() / max((n * LEVELS[2:]).sum(), 1))
 
 

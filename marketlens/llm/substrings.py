@@ -41,9 +41,7 @@ WINDOW = 35
 RUN = 8
 DEPTH = 4
 MOST_WIDTH = 1 << 25
-# What a task holds at a time: bytes of text, and words whose hashes it remembers.
-SLICE = 3 << 20
-WORDS = 150_000
+SLICE = 3 << 20  # bytes of text that a task holds at a time
 
 
 class Windows:
@@ -81,7 +79,7 @@ def _sketch(docs: DataFrame, text: str) -> sketch.Sketch:
     width = sketch.width_for(sketch.text_bytes(docs, text) / 85, most=MOST_WIDTH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, found, held = Hashes(WORDS), [], 0
+        hashes, found, held = Hashes(), [], 0
         for batch in slices(batches, text, SLICE):
             found.append(sketch.cells(Windows(texts(batch, text), hashes).anchors(), width, DEPTH).ravel())
             held += len(found[-1])
@@ -119,7 +117,7 @@ def _passed(docs: DataFrame, estimates: sketch.Sketch, text: str) -> DataFrame:
     arrow = to_arrow_type(docs.schema[key].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, number = Hashes(WORDS), TaskContext.get().partitionId() << 40
+        hashes, number = Hashes(), TaskContext.get().partitionId() << 40
         for batch in slices(batches, text, SLICE):
             data = texts(batch, text)
             found = Windows(data, hashes)
