@@ -19,16 +19,19 @@ document rows repeat it, repeated items count once per item id and text. Other c
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import column, gram_hashes, mixed, slices, texts
+from marketlens.llm.common import Known, column, mixed, slices, texts
 
 N = 4
 RARE_SHARE = 1e-3  # of the documents
+SLICE = 4 << 20  # bytes of text that a task holds at a time
+MOST_KNOWN = 200_000  # words whose numbers a task remembers
 BLOCK_WORDS = 1_000_000  # words of test items that one pass over the documents looks for
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
@@ -51,7 +54,7 @@ class Index:
         for text in items:
             words = [w for w in map(bare, text.split()) if w]
             self.items.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], np.int64))
-        grams = [gram_hashes(mixed(a.astype(np.uint64)), n) for a in self.items]
+        grams = [self.hashes(np.lib.stride_tricks.sliding_window_view(a, n)) if len(a) >= n else np.zeros(0, np.uint64) for a in self.items]
         owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, int)
         every = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
@@ -61,6 +64,14 @@ class Index:
         self.bounds = np.searchsorted(inverse[order], np.arange(len(self.grams) + 1))
         self.seed = np.ones(len(self.grams), bool)
 
+    @staticmethod
+    def hashes(grams: np.ndarray) -> np.ndarray:
+        """Hashes of n-grams, one per row."""
+        out = np.zeros(len(grams), np.uint64)
+        for k in range(grams.shape[1]):
+            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + grams[:, k].astype(np.uint64))
+        return out
+
     def choose_seeds(self, held_by: np.ndarray, rare: float) -> None:
         """``held_by``: documents per n-gram. Seeds are held by few, or by no more than twice the item's median."""
         self.seed = held_by <= rare
@@ -73,28 +84,42 @@ class Index:
             if len(own):
                 self.seed[own[held_by[own] <= 2 * np.median(held_by[own])]] = True
 
-    def numbers(self, text: bytes, known: dict[bytes, int]) -> np.ndarray:
-        """The words' numbers: 0 for words of no item, -1 for words that are all punctuation."""
-        words = text.split()
-        if len(known) > 400_000:
+    def known(self) -> Known:
+        """Numbers of words as they stand in texts: 0 for words of no item, -1 for words that are all punctuation."""
+        return Known(lambda w: self.vocabulary.get(b, 0) if (b := bare(w)) else -1)
+
+
+class Numbered:
+    """The words of a slice's texts as numbers, without those that are all punctuation."""
+
+    def __init__(self, data: list[bytes], known: Known):
+        if len(known) > MOST_KNOWN:
             known.clear()
-        for w in set(words):
-            if w not in known:
-                known[w] = self.vocabulary.get(b, 0) if (b := bare(w)) else -1
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-
-    def found(self, numbers: np.ndarray, seeds_only: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Places of n-grams of items in a text, and which n-grams they are."""
-        if len(self.grams) == 0 or len(numbers) < self.n:
-            return np.zeros(0, int), np.zeros(0, int)
-        hashes = gram_hashes(mixed(numbers.astype(np.uint64)), self.n)
-        # An n-gram with a word of no item cannot stand in one.
-        whole = np.convolve(numbers > 0, np.ones(self.n, int), "valid") == self.n
+        words = [t.split() for t in data]
+        sizes = np.array([len(w) for w in words], np.int64)
+        numbers = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
+        kept = np.flatnonzero(numbers >= 0)
+        self.numbers = numbers[kept]
+        self.doc = np.repeat(np.arange(len(data)), sizes)[kept]
+        self.place = kept - (np.cumsum(sizes) - sizes)[self.doc]
+
+    def found(self, index: Index, seeds_only: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Places of n-grams of items in the slice, and which n-grams they are."""
+        n, none = index.n, np.zeros(0, np.int64)
+        count = len(self.numbers) - n + 1
+        if count < 1 or not len(index.grams):
+            return none, none
+        # An n-gram with a word of no item cannot stand in one, and none reaches into the next text.
+        inside = self.numbers > 0
+        whole = self.doc[:count] == self.doc[n - 1 :]
+        for k in range(n):
+            whole &= inside[k : k + count]
         at = np.flatnonzero(whole)
-        which = np.minimum(np.searchsorted(self.grams, hashes[at]), len(self.grams) - 1)
-        same = self.grams[which] == hashes[at]
+        hashes = index.hashes(np.stack([self.numbers[at + k] for k in range(n)], axis=1)) if len(at) else np.zeros(0, np.uint64)
+        which = np.minimum(np.searchsorted(index.grams, hashes), len(index.grams) - 1)
+        same = index.grams[which] == hashes
         if seeds_only:
-            same &= self.seed[which]
+            same &= index.seed[which]
         return at[same], which[same]
 
 
@@ -121,38 +146,38 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best >> _SHIFT, best & _MASK, end
 
 
-def passages(index: Index, text: bytes, known: dict[bytes, int], threshold: float) -> list[tuple[int, float, int, int, int]]:
-    """(item, score, first word, one past the last word, seeds) of the best passage per item."""
-    numbers = index.numbers(text, known)
-    places = np.flatnonzero(numbers >= 0)
-    numbers = numbers[places]
-    at, which = index.found(numbers, True)
+def passages(index: Index, data: list[bytes], known: Known, threshold: float) -> list[tuple[int, int, float, int, int, int]]:
+    """(text, item, score, first word, one past the last word, seeds) of the best passage per text and item."""
+    text = Numbered(data, known)
+    at, which = text.found(index, True)
     if not len(at):
         return []
     counts = index.bounds[which + 1] - index.bounds[which]
     spread = np.repeat(np.arange(len(at)), counts)
     entry = np.arange(len(spread)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(index.bounds[which], counts)
-    owner, begin = index.owner[entry], at[spread] - index.place[entry]
+    owner, doc = index.owner[entry], text.doc[at[spread]]
+    begin = at[spread] - index.place[entry]  # where the item would begin, counted from the slice's first word
+    order = np.lexsort((begin, owner, doc))
+    owner, doc, begin = owner[order], doc[order], begin[order]
+    low_of, high_of = np.searchsorted(text.doc, [np.arange(len(data)), np.arange(1, len(data) + 1)])
     out = []
-    order = np.lexsort((begin, owner))
-    owner, begin = owner[order], begin[order]
-    cuts = np.flatnonzero(np.diff(owner)) + 1
+    cuts = np.flatnonzero((np.diff(owner) != 0) | (np.diff(doc) != 0)) + 1
     for b in np.split(np.arange(len(owner)), cuts):
-        item = index.items[owner[b[0]]]
+        item, i = index.items[owner[b[0]]], int(doc[b[0]])
         m = len(item)
         slack = m // 3 + index.n
         best = None
         # Seeds whose passages overlap are aligned as one stretch.
         for group in np.split(begin[b], np.flatnonzero(np.diff(begin[b]) > 2 * slack + m) + 1):
-            low, high = max(0, int(group[0]) - slack), min(len(numbers), int(group[-1]) + m + slack)
+            low, high = max(low_of[i], int(group[0]) - slack), min(high_of[i], int(group[-1]) + m + slack)
             if high - low > _MASK:
                 raise ValueError("stretch too long to align")
-            score, first, last = align(item, numbers[low:high])
+            score, first, last = align(item, text.numbers[low:high])
             if best is None or score > best[0]:
                 best = score, low + first, low + last, len(group)
         score = best[0] / (MATCH * m)
         if score >= threshold:
-            out.append((int(owner[b[0]]), score, int(places[best[1]]), int(places[best[2] - 1]) + 1, best[3]))
+            out.append((i, int(owner[b[0]]), score, int(text.place[best[1]]), int(text.place[best[2] - 1]) + 1, best[3]))
     return out
 
 
@@ -174,13 +199,14 @@ def _count(docs: DataFrame, index: Index, text: str) -> tuple[np.ndarray, int]:
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        counts, rows = np.zeros(len(shared.value.grams), np.int64), 0
-        for batch in slices(batches, text):
+        index = shared.value
+        known, counts, rows = index.known(), np.zeros(len(index.grams), np.int64), 0
+        for batch in slices(batches, text, SLICE):
             rows += batch.num_rows
-            for t in texts(batch, text):
-                numbers = shared.value.numbers(t, known)
-                counts[np.unique(shared.value.found(numbers[numbers >= 0], False)[1])] += 1
+            words = Numbered(texts(batch, text), known)
+            at, which = words.found(index, False)
+            once = np.unique(words.doc[at] * len(index.grams) + which)
+            counts += np.bincount(once % max(len(index.grams), 1), minlength=len(index.grams))
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *at], pa.int64()), pa.array([rows, *counts[at]], pa.int64())], names=["gram", "n"])
 
@@ -223,15 +249,11 @@ def _search(docs: DataFrame, index: Index, key: str, text: str, threshold: float
     arrow = to_arrow_type(item_kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        for batch in slices(batches, text):
-            rows, hits = [], []
-            for i, t in enumerate(texts(batch, text)):
-                for hit in passages(shared.value, t, known, threshold):
-                    rows.append(i)
-                    hits.append(hit)
-            if rows:
-                item, score, first, end, seeds = zip(*hits, strict=True)
+        known = shared.value.known()
+        for batch in slices(batches, text, SLICE):
+            hits = passages(shared.value, texts(batch, text), known, threshold)
+            if hits:
+                rows, item, score, first, end, seeds = zip(*hits, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         column(batch, key).take(pa.array(rows)),
@@ -261,8 +283,10 @@ def _without(docs: DataFrame, index: Index, text: str, threshold: float) -> Data
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        for batch in slices(batches, text):
-            yield batch.filter(pa.array([not passages(shared.value, t, known, threshold) for t in texts(batch, text)], pa.bool_()))
+        known = shared.value.known()
+        for batch in slices(batches, text, SLICE):
+            clean = np.ones(batch.num_rows, bool)
+            clean[[hit[0] for hit in passages(shared.value, texts(batch, text), known, threshold)]] = False
+            yield batch.filter(pa.array(clean))
 
     return docs.mapInArrow(run, docs.schema)
