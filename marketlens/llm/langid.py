@@ -30,6 +30,7 @@ DIMENSIONS = 1024
 N = 3
 CODES = 64  # letter codes, 0 for what stands between words
 SAMPLE_DOCS = 4000  # labelled documents that the prototypes are fitted on, at most
+SLICE = 2 << 20  # bytes of text that a task holds at a time
 SEED = 20240229
 
 
@@ -56,8 +57,9 @@ def grams(data: bytes, codes: np.ndarray) -> np.ndarray:
     points = np.frombuffer(data.decode("utf-8", "replace").encode("utf-32-le", "replace"), np.uint32)
     found = codes[points]
     if not found.any():
-        return np.zeros(0, np.int64)
-    padded = np.concatenate([[0], found, [0]]).astype(np.int64)
+        return np.zeros(0, np.int32)
+    padded = np.zeros(len(found) + 2, np.int32)
+    padded[1:-1] = found
     padded = padded[np.concatenate([[True], (padded[1:] != 0) | (padded[:-1] != 0)])]
     return padded[:-2] * CODES * CODES + padded[1:-1] * CODES + padded[2:]
 
@@ -76,7 +78,7 @@ class Vectors:
         if (at < 0).any():
             fresh = np.unique(found[at < 0])
             if self.n + len(fresh) > len(self.rows):
-                self.rows = np.concatenate([self.rows, np.zeros((len(self.rows) + len(fresh), self.rows.shape[1]), np.float32)])
+                self.rows = np.concatenate([self.rows, np.zeros((len(self.rows) // 2 + len(fresh), self.rows.shape[1]), np.float32)])
             a, b, c = fresh // CODES**2, fresh // CODES % CODES, fresh % CODES
             self.rows[self.n : self.n + len(fresh)] = self.places[0][a] * self.places[1][b] * self.places[2][c]
             self.index[fresh] = np.arange(self.n, self.n + len(fresh))
@@ -84,7 +86,7 @@ class Vectors:
             at = self.index[found]
         return at
 
-    def bundles(self, texts_: list[bytes], codes: np.ndarray, block: int = 128) -> np.ndarray:
+    def bundles(self, texts_: list[bytes], codes: np.ndarray, block: int = 64) -> np.ndarray:
         """One row per text, zero for texts without a letter."""
         out = []
         for k in range(0, len(texts_), block):
@@ -110,7 +112,7 @@ def fit_prototypes(docs: DataFrame, train: Column, key: str = "doc_id", text: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, vectors, sums = letter_codes(), Vectors(DIMENSIONS), {}
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, SLICE):
             bundled = vectors.bundles(texts(batch, text), codes)
             for name, v in zip(column(batch, lang).to_pylist(), bundled, strict=True):
                 size = np.linalg.norm(v)
@@ -141,7 +143,7 @@ def predict_language(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, vectors = letter_codes(), Vectors(DIMENSIONS)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             bundled = vectors.bundles(texts(batch, "text"), codes)
             sizes = np.linalg.norm(bundled, axis=1)
             if names:
