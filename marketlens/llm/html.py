@@ -44,7 +44,8 @@ ATTR = re.compile(r"""(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|
 OUTSIDE = frozenset("head nav footer aside form dialog menu".split())
 OUTSIDE_NAMES = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget ad ads advert adverts advertisement "
-    "banner promo promotion promoted sponsor sponsored cookie cookies consent notice alert popup modal overlay newsletter subscribe signup login "
+    "banner promo promotion promoted sponsor sponsored cookie cookies consent notice alert disclaimer popup modal overlay newsletter subscribe "
+    "subscription paywall signup login form dialog "
     "search share sharing social comment comments reply replies respond disqus discussion related recommended pagination pager skip complementary contentinfo "
     "toolbar copyright legal".split()
 )
@@ -140,7 +141,9 @@ def counts(page: str) -> Counter:
 
 
 def weights_from(found: Counter) -> dict[str, float]:
-    """Log odds of standing inside, at least 0.1 for words and at most -0.1 for all else."""
+    """Log odds of standing inside, at least 0.1 for words and at most -0.1 for tags.
+
+    Words of boilerplate blocks count as markup, half a point each."""
     total = {side: sum(n for (_, s), n in found.items() if s == side) + 1.0 for side in (True, False)}
 
     def odds(kind: str) -> float:
@@ -150,7 +153,7 @@ def weights_from(found: Counter) -> dict[str, float]:
     kinds = {k for k, _ in found} | {"words", "outside words"}
     weights = {k: max(-5.0, min(-0.1, odds(k))) for k in kinds if k != "words"}
     weights["words"] = min(5.0, max(0.1, odds("words")))
-    weights["outside words"] = min(-0.5, weights["outside words"])
+    weights["outside words"] = -0.5
     return weights
 
 
@@ -179,15 +182,18 @@ def fit_weights(pages: DataFrame, key: str = "page_id", page: str = "html", most
 
 
 def main_text(page: str, weights: dict[str, float]) -> str:
-    """The blocks of the best run of tokens, without boilerplate blocks inside it."""
+    """The blocks of the best run of tokens, without boilerplate blocks inside it.
+
+    Boilerplate blocks within an article score nothing, so that they do not cut it in two.
+    """
     items = tokens(page)
     scores = []
     other = weights.get("div", -0.5)
-    for kind, value, outside, _ in items:
+    for kind, value, outside, inside in items:
         if kind == "text":
-            scores.append(weights["outside words" if outside else "words"] * len(value.split()))
+            scores.append(weights["outside words" if outside else "words"] * len(value.split()) if not (outside and inside) else 0.0)
         else:
-            scores.append(weights.get(kind, other))
+            scores.append(weights.get(kind, other) if not (outside and inside) else 0.0)
     best = total = 0.0
     begin = end = start = 0
     for i, s in enumerate(scores):

@@ -48,7 +48,7 @@ TOKEN = re.compile(
     r"""|(?P<name>[A-Za-z_$][\w$]*(?:[.-][A-Za-z_$][\w$]*)*)"""
     r"""|(?P<op>:=|=>|==|!=|<=|>=|[=:+\[\]])|(?P<line>\n)|(?P<other>[^\s\w"'`=:+\[\]])"""
 )
-BARE = re.compile(r"[A-Za-z0-9+/_.=~@%!$*-]{8,}")
+BARE = re.compile(r"[A-Za-z0-9+/_.=~@%!$*#^&-]{8,}")
 
 
 class Span(NamedTuple):

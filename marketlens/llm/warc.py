@@ -7,8 +7,10 @@ always responses. Digests are counted with map-side aggregation, and only digest
 are joined back, so a payload that a third of all rows share is one row on the small side.
 
 Reading. The driver lists the files and plans one partition per file, or per few small files.
-Record-type and header predicates are pushed down; a task parses the header of each record first and
-skips the block of a record that no predicate wants, or whose payload was not asked for.
+Record-type and header predicates are pushed down to the tasks, which parse the header of each record
+first and skip the block of a record that the predicates do not want, or whose payload was not asked
+for. The predicates are arguments of the read and travel as options of the source: filters that Spark
+pushes into a Python source stay with it for the next query on the same DataFrame, which then misses rows.
 
 A null page has an empty payload. Rows equal in both key and payload are of the same type. A null key
 is written as an empty id and read as null; against any other key it is the smaller one. Empty tables
@@ -19,15 +21,16 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import posixpath
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import BinaryIO
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from marketlens.llm.common import column
 from marketlens.session import fresh_path, staged
@@ -103,11 +106,17 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
     rows.select(_record(key, url).alias("value")).write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
-def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
-    """The records below ``path``; without payloads, blocks are skipped."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+def read_warc(spark: SparkSession, path: str, payload: bool = True, where: dict[str, Iterable[str]] | None = None) -> DataFrame:
+    """The records below ``path`` whose header columns have one of the values ``where`` gives for them.
+
+    Without payloads, all blocks are skipped.
+    """
+    unknown = set(where or {}) - set(HEADERS)
+    if unknown:
+        raise ValueError(f"no header columns: {sorted(unknown)}; use some of {sorted(HEADERS)}")
     spark.dataSource.register(WarcSource)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    wanted = json.dumps({name: list(values) for name, values in (where or {}).items()})
+    return spark.read.format("warc").option("payload", str(payload).lower()).option("where", wanted).load(path)
 
 
 class Files(InputPartition):
@@ -117,7 +126,8 @@ class Files(InputPartition):
 
 
 class WarcSource(DataSource):
-    """Options: ``path``; ``payload`` (false skips blocks); ``groupBytes``, the size up to which files share a partition."""
+    """Options: ``path``; ``payload`` (false skips blocks); ``where``, a JSON object of header columns and their wanted
+    values; ``groupBytes``, the size up to which files share a partition."""
 
     @classmethod
     def name(cls) -> str:
@@ -139,17 +149,7 @@ class WarcReader(DataSourceReader):
         self.path = options["path"]
         self.payload = options.get("payload", "true") != "false"
         self.group = int(options.get("groupBytes", options.get("groupbytes", 4 << 20)))
-        self.wanted: dict[str, set] = {}
-
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Takes equality tests on header fields; Spark keeps the rest."""
-        for f in filters:
-            name = f.attribute[0] if isinstance(f, EqualTo | In) and len(f.attribute) == 1 else None
-            if name in HEADERS:
-                values = {f.value} if isinstance(f, EqualTo) else set(f.value)
-                self.wanted[name] = self.wanted.get(name, values) & values
-            else:
-                yield f
+        self.wanted = {name: set(values) for name, values in json.loads(options.get("where", "{}")).items()}
 
     def partitions(self) -> list[Files]:
         system, path = _file_system(self.path)
