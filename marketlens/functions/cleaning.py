@@ -13,6 +13,7 @@ RETURN_LABELS = {
     "defective_product": "Sản phẩm hư hỏng",
     "no_return": "Không đổi trả",
 }
+# What stands for no brand, and the days of a lifetime warranty.
 NO_BRAND_ID = 0
 NO_BRAND_NAME = "No Brand"
 LIFETIME_DAYS = 36500
@@ -27,11 +28,6 @@ def number_or(value: Column, default: int) -> Column:
     return F.coalesce(value, F.lit(default))
 
 
-def nan_to_null(value: Column) -> Column:
-    """For floating-point input, where a missing number may have been written as NaN."""
-    return F.nanvl(value, F.lit(None).cast("double"))
-
-
 def text_or(value: Column, default: str) -> Column:
     return F.coalesce(value, F.lit(default))
 
@@ -48,8 +44,8 @@ def warranty_text(value: Column) -> Column:
 
 
 def _days(text: Column, units: str, factor: int, gap: str = r"\s*") -> Column:
-    """Days of the first ``<number><gap><unit>``; null when the text has none."""
-    return F.regexp_extract(text, rf"(\d+){gap}({units})", 1).try_cast("int") * F.lit(factor)
+    """Days of the first ``<number><gap><unit>``; null when the text has none or the days exceed an int."""
+    return F.try_multiply(F.regexp_extract(text, rf"(\d+){gap}({units})", 1).try_cast("int"), F.lit(factor))
 
 
 def warranty_days(text: Column, strict_zero: bool = True) -> Column:
@@ -78,7 +74,7 @@ def joined_days(text: Column) -> Column:
     unit = F.regexp_extract(text, r"(\d+)\s+(năm|tháng|ngày)", 2)
     factor = F.when(unit == "năm", 365).when(unit == "tháng", 30).when(unit == "ngày", 1)
     return F.coalesce(
-        F.regexp_extract(text, r"(\d+)\s+(năm|tháng|ngày)", 1).try_cast("int") * factor, F.lit(0)
+        F.try_multiply(F.regexp_extract(text, r"(\d+)\s+(năm|tháng|ngày)", 1).try_cast("int"), factor), F.lit(0)
     )
 
 

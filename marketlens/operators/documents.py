@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.cleaning import flag
 from marketlens.schemas import CORRUPT
 
-# Warranty entries that become columns.
+# Warranty entries that become columns; below, the field names of the crawled documents.
 WARRANTY_FIELDS = {
     "warranty_period": "thời_gian_bảo_hành",
     "warranty_type": "hình_thức_bảo_hành",
@@ -46,7 +48,7 @@ def reject_reason() -> Column:
     """Why a product document cannot be used; null when it can."""
     return (
         F.when(F.col(CORRUPT).isNotNull(), "unreadable")
-        .when(F.try_element_at("breadcrumbs", F.lit(1))["category_id"].isNull(), "no category")
+        .when(F.coalesce(F.size("breadcrumbs"), F.lit(0)) <= 0, "no category")
         .when(F.exists(F.coalesce("authors", F.array().cast("array<struct<id:bigint,name:string>>")), lambda a: a["id"].isNull()), "author without id")
     )
 
@@ -62,7 +64,8 @@ def split_readable(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     return judged.filter("reason is null").drop("reason"), judged.filter("reason is not null")
 
 
-def product_rows(documents: DataFrame) -> DataFrame:
+def product_rows(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The flat columns of product documents, after the columns in ``keep``."""
     tracking = F.col("tracking_info.amplitude")
     seller = F.col("current_seller")
     columns = {
@@ -104,10 +107,10 @@ def product_rows(documents: DataFrame) -> DataFrame:
         "seller_logo": seller["logo"],
         **{name: last_value(F.col("warranty_info"), key) for name, key in WARRANTY_FIELDS.items()},
     }
-    return documents.select(*[expr.alias(name) for name, expr in columns.items()])
+    return documents.select(*keep, *[expr.alias(name) for name, expr in columns.items()])
 
 
-def seller_rows(documents: DataFrame) -> DataFrame:
+def seller_rows(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     seller = F.col("data.seller")
     renamed = {
         "seller_id": "id",
@@ -121,17 +124,18 @@ def seller_rows(documents: DataFrame) -> DataFrame:
         "is_official": "is_official",
         "store_level": "store_level",
     }
-    return documents.select(*[seller[source].alias(name) for name, source in renamed.items()])
+    return documents.select(*keep, *[seller[source].alias(name) for name, source in renamed.items()])
 
 
 def split_comments(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Comments of all review pages, one row each; those without a seller are rejected."""
-    comments = documents.select(F.explode("data").alias("comment"))
+    kept = [c for c in ("path",) if c in documents.columns]
+    comments = documents.select(*kept, F.posexplode("data").alias("position", "comment"))
     sold = F.col("comment.seller").isNotNull()
     return comments.filter(sold), comments.filter(~sold).withColumn("reason", F.lit("no seller"))
 
 
-def review_rows(comments: DataFrame) -> DataFrame:
+def review_rows(comments: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     c = F.col("comment")
     author = c["created_by"]
     summary = author["contribute_info"]["summary"]
@@ -154,7 +158,7 @@ def review_rows(comments: DataFrame) -> DataFrame:
         "total_review": F.when(unknown, 0).otherwise(summary["total_review"]),
         "total_thank": F.when(unknown, 0).otherwise(summary["total_thank"]),
     }
-    return comments.select(*[expr.alias(name) for name, expr in columns.items()])
+    return comments.select(*keep, *[expr.alias(name) for name, expr in columns.items()])
 
 
 def listing_rows(pages: DataFrame, category_id: Column, slug: Column) -> DataFrame:

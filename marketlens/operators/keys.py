@@ -29,7 +29,7 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -
 
     A caller who knows a shorter total order passes it, so that unused columns stay unread.
     """
-    return top_per_key(df, keys, list(order) or [F.col(c) for c in df.columns if c not in keys], 1)
+    return top_per_key(df, keys, list(order) or [F.col(c) for c in df.columns if c not in keys] or [F.col(keys[0])], 1)
 
 
 def keep_one_complete(df: DataFrame, keys: Sequence[str]) -> DataFrame:

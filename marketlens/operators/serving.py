@@ -18,11 +18,6 @@ def find(df: DataFrame, **values) -> DataFrame:
     return df
 
 
-def other_items(df: DataFrame, product_id: int, seller_id: int) -> DataFrame:
-    """All items but one."""
-    return df.filter((F.col("product_id") != product_id) | (F.col("seller_id") != seller_id))
-
-
 def recent_purchases(reviews: DataFrame, n: int = 5, rank: str | None = None) -> DataFrame:
     """The last ``n`` purchases of every customer."""
     order = [F.desc_nulls_last("purchased_at"), F.col("review_id")]

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlens.functions import cleaning as C
 from marketlens.functions import display as X
 from marketlens.functions import text as TX
 from marketlens.operators import checks, collab, documents, keys, load, profile, serving, similarity, terms
-from marketlens.plans import gold, silver, star
-from marketlens.plans.warehouse import load_warehouse, open_warehouse
-from marketlens.schemas import WAREHOUSE, Column, TableSpec
-from marketlens.session import fresh_path, spread, staged
+from marketlens.plans import gold, recommend, silver, star
+from marketlens.plans.warehouse import load_warehouse, open_warehouse, read_rejects
+from marketlens.schemas import LISTING_DOC, TRACKING_CSV, WAREHOUSE, Column, TableSpec
+from marketlens.session import fresh_path, staged
 from marketlens.sources import files
 from marketlens.sources.versions import read_current
 from marketlens.streaming import incremental
@@ -65,11 +65,11 @@ def silver_sellers(spark: SparkSession, sf: str) -> DataFrame:
 
 def _silver_products(spark: SparkSession, sf: str) -> DataFrame:
     sellers = silver.silver_sellers(star.sellers(spark, sf), [F.col("seller_name")])
-    return silver.silver_products(star.listings(spark, sf), sellers, star.newest_listing())
+    return silver.silver_products(star.listings(spark, sf), sellers, unique=True)
 
 
 def _silver_reviews(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.silver_reviews(star.review_rows(spark, sf), star.offer_keys(spark, sf), star.first_review())
+    return silver.silver_reviews(star.review_rows(spark, sf), star.offer_keys(spark, sf), unique=True)
 
 
 @query
@@ -164,8 +164,9 @@ def joined_days(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def json_extract_events(spark: SparkSession, sf: str) -> DataFrame:
-    """A known key and a missing one with its default."""
-    props = F.from_json("props", "k int, label string")
+    """A known key, and one that only every fifth event has, with its default."""
+    labelled = F.concat(F.expr("left(props, length(props) - 1)"), F.lit(', "label": "L'), F.expr("event_id % 3"), F.lit('"}'))
+    props = F.from_json(F.when(F.expr("event_id % 5 = 0"), labelled).otherwise(F.col("props")), "k int, label string")
     parsed = star.table(spark, sf, "events").select("event_id", props.alias("p"))
     return parsed.select("event_id", "p.k", F.coalesce("p.label", F.lit("none")).alias("label"))
 
@@ -173,7 +174,7 @@ def json_extract_events(spark: SparkSession, sf: str) -> DataFrame:
 def _product_documents(spark: SparkSession, sf: str) -> DataFrame:
     """One product document per part as JSON text; some unreadable, some without category."""
     pair = "struct<name:string,value:string>"
-    doc = spread(star.table(spark, sf, "part")).selectExpr(
+    doc = star.table(spark, sf, "part").selectExpr(
         "p_partkey",
         "p_size",
         f"""to_json(named_struct(
@@ -189,10 +190,10 @@ def _product_documents(spark: SparkSession, sf: str) -> DataFrame:
             'breadcrumbs', case when p_size % 9 = 0
                 then cast(array() as array<struct<category_id:bigint,name:string>>)
                 else array(
-                    named_struct('category_id', cast(p_size as bigint), 'name', p_type),
+                    named_struct('category_id', case when p_size % 11 <> 5 then cast(p_size as bigint) end, 'name', p_type),
                     named_struct('category_id', cast(100 as bigint), 'name', p_brand),
                     named_struct('category_id', cast(null as bigint), 'name', p_name)) end,
-            'list_price', cast(p_retailprice as bigint),
+            'list_price', cast(p_retailprice as decimal(15,2)),
             'tracking_info', named_struct('amplitude', named_struct(
                 'is_authentic', p_size > 20, 'is_hero', p_size % 2, 'return_reason', 'any_reason')),
             'all_time_quantity_sold', case when p_size > 5 then p_size end,
@@ -215,8 +216,9 @@ def _product_documents(spark: SparkSession, sf: str) -> DataFrame:
 def json_product_flatten(spark: SparkSession, sf: str) -> DataFrame:
     good, _ = documents.split_products(files.parse_documents(_product_documents(spark, sf), "doc", "products"))
     return documents.product_rows(good).select(
-        "product_id", "product_sku", "product_name", "product_url", "description", "specifications", "category_id",
-        "breadcrumbs", "original_price", "is_authentic", "is_top_deal", "return_reason", "seller_id", "seller_name",
+        "product_id", "product_sku", "product_name", "product_url", "description", "specifications",
+        F.coalesce("category_id", F.lit(-1)).alias("category_id"),
+        "breadcrumbs", F.col("original_price").cast("double").alias("original_price"), "is_authentic", "is_top_deal", "return_reason", "seller_id", "seller_name",
         F.array_join("images_url", " ").alias("images_url"),
         F.coalesce("quantity_sold", F.lit(-1)).alias("quantity_sold"),
         F.coalesce("brand_id", F.lit(-1)).alias("brand_id"),
@@ -293,7 +295,7 @@ def json_listing_pages(spark: SparkSession, sf: str) -> DataFrame:
             named_struct('id', l_partkey, 'seller_product_id', l_orderkey + 1, 'seller_id', l_suppkey)))) as doc""",
         "cast(l_linenumber as bigint) as category", "l_returnflag as page_slug",
     )
-    parsed = pages.select("category", "page_slug", F.from_json("doc", "data array<struct<id:bigint,seller_product_id:bigint,seller_id:bigint>>").alias("d")).select("category", "page_slug", "d.data")
+    parsed = pages.select("category", "page_slug", F.from_json("doc", LISTING_DOC).alias("d")).select("category", "page_slug", "d.data")
     return documents.listing_rows(parsed, F.col("category"), F.col("page_slug"))
 
 
@@ -381,7 +383,7 @@ def defaults_applied(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def warehouse_load(spark: SparkSession, sf: str) -> DataFrame:
-    """All tables normalised, loaded and read back: row count and violations per table."""
+    """All tables normalised, judged, loaded and read back: row count and refused rows per table."""
     products = staged(_silver_products(spark, sf), "silver-products")
     reviews = staged(_silver_reviews(spark, sf), "silver-reviews")
     tables = gold.normalise(products, reviews) | {
@@ -390,15 +392,39 @@ def warehouse_load(spark: SparkSession, sf: str) -> DataFrame:
     }
     base = fresh_path(spark, "warehouse")
     load_warehouse(tables, base)
-    stored = open_warehouse(spark, base)
-    out = None
-    for name, df in stored.items():
-        found = checks.check_table(df, WAREHOUSE[name], stored).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_violations"))
-        one = df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows", found.scalar().alias("n_violations")
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
+    counts = profile.table_counts(open_warehouse(spark, base))
+    refused = read_rejects(spark, base).groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+    return counts.join(refused, "table_name", "left").select("table_name", "n_rows", F.coalesce("n", F.lit(0)).alias("n_violations"))
+
+
+@query
+def load_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads, the second into filled tables: rows stored, and rows refused by table, load and reason.
+
+    On the first day a third of the sellers arrive with all products; on the second another third,
+    three in four of them with a value that their table does not take, and all products again.
+    """
+    base = fresh_path(spark, "warehouse")
+    products = staged(_silver_products(spark, sf), "silver-products")
+    sellers = silver.silver_sellers(star.sellers(spark, sf), [F.col("seller_name")])
+    first = {
+        "categories": star.categories(spark, sf),
+        "sellers": sellers.filter("seller_id % 3 = 0"),
+        "brands": gold.gold_brands(products),
+        "products": gold.gold_products(products),
+    }
+    load_warehouse(first, base, "day1")
+    later = sellers.filter("seller_id % 3 = 1").withColumns(
+        {
+            "store_level": F.expr("case when seller_id % 4 = 1 then repeat('X', 40) else store_level end"),
+            "avg_rating_point": F.expr("case when seller_id % 4 = 2 then 12.5 else avg_rating_point end"),
+            "seller_id": F.expr("case when seller_id % 4 <> 3 then seller_id end"),
+        }
+    )
+    load_warehouse({"sellers": later, "products": first["products"]}, base, "day2")
+    stored = profile.table_counts(open_warehouse(spark, base)).withColumns({"tag": F.lit("stored"), "reason": F.lit("")})
+    refused = read_rejects(spark, base).groupBy("table_name", "tag", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    return stored.unionByName(refused).select("table_name", "tag", "reason", "n_rows")
 
 
 @query
@@ -456,7 +482,7 @@ def length_violations(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def decimal_conformance(spark: SparkSession, sf: str) -> DataFrame:
     types = {"l_extendedprice": "decimal(6,2)", "l_quantity": "decimal(2,1)", "l_discount": "decimal(4,3)"}
-    return checks.decimal_conformance(spread(star.table(spark, sf, "lineitem").select(*types)), types)
+    return checks.decimal_conformance(star.table(spark, sf, "lineitem").select(*types), types)
 
 
 @query
@@ -479,7 +505,9 @@ def table_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def multi_author_products(spark: SparkSession, sf: str) -> DataFrame:
-    named = star.table(spark, sf, "part").select("p_partkey", F.array_distinct(F.split("p_name", " ")).alias("authors"))
+    words = F.split("p_name", " ")
+    authors = F.when(F.expr("p_size % 3 = 0"), F.slice(words, 1, 1)).otherwise(words)
+    named = star.table(spark, sf, "part").select("p_partkey", F.array_distinct(authors).alias("authors"))
     return named.filter(F.size("authors") > 1).select("p_partkey", F.size("authors").alias("n_authors"))
 
 
@@ -518,7 +546,7 @@ def recent_purchases_top5(spark: SparkSession, sf: str) -> DataFrame:
 def normalized_text(spark: SparkSession, sf: str) -> DataFrame:
     docs = star.table(spark, sf, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "text")
     pages = star.table(spark, sf, "pages").select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), F.col("html").alias("text"))
-    return spread(docs.unionByName(pages)).select("kind", "id", TX.normalize_text(F.col("text")).alias("text"))
+    return docs.unionByName(pages).select("kind", "id", TX.normalize_text(F.col("text")).alias("text"))
 
 
 @query
@@ -592,6 +620,22 @@ def similar_products_top10(spark: SparkSession, sf: str) -> DataFrame:
     return similarity.similar_items(staged(weights, "offer-weights"), ["product_id", "seller_id"])
 
 
+@query
+def product_search_top10(spark: SparkSession, sf: str) -> DataFrame:
+    """Every pair of category and brand searched in the names and breadcrumbs of all products."""
+    index = recommend.search_index(gold.gold_products(_silver_products(spark, sf)))
+    asked = star.table(spark, sf, "part").select(F.concat_ws(" ", "p_type", "p_brand").alias("query")).distinct()
+    return index.search(asked, "query", F.col("query"))
+
+
+@query
+def similar_to_product(spark: SparkSession, sf: str) -> DataFrame:
+    """The products most like the first offer of every hundredth product, by content."""
+    index = recommend.content_index(gold.gold_products(_silver_products(spark, sf)))
+    wanted = star.offer_keys(spark, sf).filter("product_id % 100 = 0").groupBy("product_id").agg(F.min("seller_id").alias("seller_id"))
+    return index.similar_to(wanted)
+
+
 @query
 def item_index(spark: SparkSession, sf: str) -> DataFrame:
     return collab.item_index(star.table(spark, sf, "lineitem").selectExpr("l_partkey as product_id", "l_suppkey as seller_id"))
@@ -609,6 +653,29 @@ def als_user_top5(spark: SparkSession, sf: str) -> DataFrame:
     return collab.user_picks(recs, names)
 
 
+@query
+def als_properties(spark: SparkSession, sf: str) -> DataFrame:
+    """Per user what must hold of any recommendations: how many, ranks without gaps, falling ratings, known items."""
+    reviews = staged(star.reviews(spark, sf), "ratings")
+    picks = staged(collab.user_picks(collab.recommendations(reviews), n=20), "picks")
+    before = Window.partitionBy("customer_id").orderBy("rank")
+    known = reviews.select("product_id", "seller_id").distinct().withColumn("known", F.lit(True))
+    judged = picks.join(known, ["product_id", "seller_id"], "left").withColumn("before", F.lag("rating").over(before))
+    return judged.groupBy(F.col("customer_id").cast("long").alias("customer_id")).agg(
+        F.count(F.lit(1)).alias("n_picks"),
+        ((F.min("rank") == 1) & (F.max("rank") == F.count_distinct("rank")) & (F.max("rank") == F.count(F.lit(1)))).alias("ranks_whole"),
+        F.every(F.coalesce(F.col("before") >= F.col("rating"), F.lit(True))).alias("ratings_fall"),
+        F.every(F.coalesce("known", F.lit(False))).alias("items_known"),
+    )
+
+
+@query
+def factors_top10(spark: SparkSession, sf: str) -> DataFrame:
+    """The exact best vectors for every hundredth one, as users and items with given factors."""
+    vectors = star.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"))
+    return collab.best_items(vectors.filter("id % 100 = 0"), vectors, 10)
+
+
 # --- files and streams ----------------------------------------------------------------------
 
 
@@ -634,31 +701,71 @@ def file_format_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+@query
+def file_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Products written as documents into category folders, then listed, scanned and counted.
+
+    Also a word list with repeats and a tracking table that does not exist yet.
+    """
+    base = fresh_path(spark, "documents")
+    part = star.table(spark, sf, "part")
+    pages = part.groupBy("p_type", "p_brand").agg(F.min("p_partkey").alias("id"), F.count(F.lit(1)).alias("sold"), F.max("p_size").alias("size"))
+    document = """to_json(named_struct('id', id, 'name', p_brand, 'all_time_quantity_sold', sold, 'breadcrumbs',
+        if(size % 2 = 0, array(named_struct('category_id', size, 'name', p_type)), cast(array() as array<struct<category_id:int,name:string>>))))"""
+    text = pages.selectExpr("lower(p_type) as slug", "substring(p_brand, 7) as folder", f"{document} as value")
+    text.repartition("slug", "folder").write.option("maxRecordsPerFile", 1).partitionBy("slug", "folder").text(f"{base}/files")
+
+    listed = files.list_files(spark, f"{base}/files", "part-*").select(F.regexp_replace("path", "(slug|folder)=", "").alias("path"))
+    titles = star.categories(spark, sf).select("slug", "title")
+    folders = profile.files_per_category(listed, f"{base}/files/", titles).select(
+        F.lit("folders").alias("what"), F.coalesce("title", F.lit("(total)")).alias("name"), F.col("n_items").alias("n")
+    )
+    good, bad = documents.split_products(files.scan_documents(spark, f"{base}/files", "products", "part-*"))
+    sold = documents.product_rows(good).agg(F.sum("quantity_sold")).select(F.lit("products").alias("what"), F.lit("sold").alias("name"), F.col("sum(quantity_sold)").alias("n"))
+    refused = bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).select(F.lit("rejects").alias("what"), F.col("reason").alias("name"), "n")
+    part.select("p_type").write.text(f"{base}/words")
+    words = files.read_words(spark, f"{base}/words").select(F.lit("words").alias("what"), F.lower("token").alias("name"), F.length("token").cast("long").alias("n"))
+    tracked = files.read_or_create(spark, f"{base}/tracking", TRACKING_CSV).agg(F.count(F.lit(1)).alias("n"))
+    return folders.unionByName(sold).unionByName(refused).unionByName(words).unionByName(tracked.select(F.lit("tracking").alias("what"), F.lit("rows").alias("name"), "n"))
+
+
 def _drops(spark: SparkSession, sf: str, first: str) -> list[DataFrame]:
     events = star.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
-    return [events.filter(first), events.filter(f"not ({first})")]
+    return [events.filter(first), events.filter(f"not coalesce({first}, false)")]
 
 
 @query
 def stream_incremental_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Events arrive in two drops; each drop upserts the newest event of its users."""
     base = fresh_path(spark, "stream")
-    upsert = incremental.upsert_batches(f"{base}/users", ["user_id"], [F.desc("event_id")])
+    upsert = incremental.upsert_batches(f"{base}/users", ["user_id"], [F.desc("event_id")], "events")
     for i, drop in enumerate(_drops(spark, sf, "event_type <> 'purchase'")):
         files.write_json(drop, f"{base}/in/drop{i}")
         incremental.run_available(spark, f"{base}/in", drop.schema, upsert, f"{base}/state", recursiveFileLookup="true")
     return read_current(spark, f"{base}/users")
 
 
+@query
+def stream_two_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Two sources with checkpoints of their own upsert into one table, the odd events after the even ones."""
+    base = fresh_path(spark, "stream")
+    events = star.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    for name, rest in (("even", 0), ("odd", 1)):
+        files.write_json(events.filter(F.col("event_id") % 2 == rest), f"{base}/{name}/in")
+        upsert = incremental.upsert_batches(f"{base}/users", ["user_id"], [F.desc("event_id")], name)
+        incremental.run_available(spark, f"{base}/{name}/in", events.schema, upsert, f"{base}/{name}/state")
+    return read_current(spark, f"{base}/users")
+
+
 @query
 def stream_skip_known(spark: SparkSession, sf: str) -> DataFrame:
-    """Events in two drops; only those of users unseen in earlier drops are taken in."""
+    """Events in two drops; of every user unseen so far the first event is taken in."""
     base = fresh_path(spark, "stream")
 
     def store(fresh: DataFrame, batch_id: int) -> None:
         fresh.write.mode("overwrite").parquet(f"{base}/taken/{batch_id}")
 
-    take = incremental.new_keys_only(f"{base}/tracking", ["user_id"], store)
+    take = incremental.new_keys_only(f"{base}/tracking", ["user_id"], store, [F.col("event_id")], "events")
     for i, drop in enumerate(_drops(spark, sf, "event_type = 'signup'")):
         files.write_json(drop, f"{base}/in/drop{i}")
         incremental.run_available(spark, f"{base}/in", drop.schema, take, f"{base}/state", recursiveFileLookup="true")

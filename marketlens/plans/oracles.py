@@ -206,7 +206,8 @@ WITH t AS (
 SELECT c_custkey, {_joined("case_text")} AS case_days, dated_text, {_joined("dated_text")} AS dated_days FROM t
 """
 ORACLES["json_extract_events"] = """
-SELECT event_id, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INTEGER) AS k, 'none' AS label FROM events
+SELECT event_id, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INTEGER) AS k,
+  CASE WHEN event_id % 5 = 0 THEN 'L' || (event_id % 3) ELSE 'none' END AS label FROM events
 """
 _REJECT = """CASE WHEN p_size = 17 THEN 'unreadable' WHEN p_size % 9 = 0 THEN 'no category'
   WHEN p_size % 39 = 0 THEN 'author without id' END"""
@@ -215,12 +216,12 @@ SELECT p_partkey AS product_id, 'SKU' || p_partkey AS product_sku, p_name AS pro
   'https://shop.example/p' || p_partkey AS product_url, 'About ' || p_name AS description,
   CASE WHEN p_size = 7 THEN '' ELSE 'Size: ' || p_size || chr(10) || 'Brand: ' || p_brand
     || CASE WHEN p_size % 2 = 1 THEN chr(10) || 'Type: ' || p_type ELSE '' END END AS specifications,
-  CAST(p_size AS BIGINT) AS category_id, p_type || ' / ' || p_brand AS breadcrumbs,
-  CAST(trunc(p_retailprice) AS BIGINT) AS original_price,
+  CASE WHEN p_size % 11 <> 5 THEN CAST(p_size AS BIGINT) ELSE -1 END AS category_id, p_type || ' / ' || p_brand AS breadcrumbs,
+  CAST(CAST(p_retailprice AS DECIMAL(15, 2)) AS DOUBLE) AS original_price,
   p_size > 20 AS is_authentic, p_size % 2 = 1 AS is_top_deal, 'any_reason' AS return_reason,
   p_partkey % 10 AS seller_id, 'Seller ' || (p_partkey % 10) AS seller_name,
   CASE WHEN p_size % 4 <> 0 THEN p_name ELSE '' END AS images_url,
-  CASE WHEN p_size > 5 THEN p_size ELSE -1 END AS quantity_sold,
+  CASE WHEN p_size > 5 THEN CAST(p_size AS BIGINT) ELSE -1 END AS quantity_sold,
   CASE WHEN p_size > 3 THEN CAST(substr(p_brand, 7) AS BIGINT) ELSE -1 END AS brand_id,
   CASE WHEN p_size > 3 THEN p_brand ELSE '' END AS brand_name,
   CASE WHEN p_size % 3 = 0 THEN array_to_string(list_transform(string_split(p_name, ' '), lambda w, i: (p_partkey * 10 + i - 1) || ':' || w), ' ') ELSE '' END AS authors,
@@ -230,20 +231,20 @@ FROM part WHERE ({_REJECT}) IS NULL
 ORACLES["json_product_rejects"] = f"SELECT p_partkey, {_REJECT} AS reason FROM part WHERE ({_REJECT}) IS NOT NULL"
 ORACLES["json_seller_flatten"] = """
 SELECT s_suppkey AS seller_id, s_name AS seller_name, 'i' || s_suppkey AS icon_url, 'u' || s_suppkey AS store_url,
-  s_acctbal AS avg_rating_point, s_nationkey AS review_count, s_nationkey * 3 AS total_follower,
-  s_nationkey * 7 AS days_since_joined, s_nationkey > 12 AS is_official, 'TRUSTED' AS store_level
+  s_acctbal AS avg_rating_point, CAST(s_nationkey AS BIGINT) AS review_count, CAST(s_nationkey * 3 AS BIGINT) AS total_follower,
+  CAST(s_nationkey * 7 AS BIGINT) AS days_since_joined, s_nationkey > 12 AS is_official, 'TRUSTED' AS store_level
 FROM supplier
 """
 ORACLES["json_review_explode"] = """
 SELECT conv_id * 100 + turn AS review_id, conv_id AS product_id, turn + 1 AS seller_id, role AS title, text AS content,
-  'approved' AS status, CAST(turn AS INTEGER) AS thank_count, CAST(1 + turn % 5 AS INTEGER) AS rating,
+  'approved' AS status, CAST(turn AS BIGINT) AS thank_count, CAST(1 + turn % 5 AS DOUBLE) AS rating,
   1700000000 + turn AS created_at, conv_id AS customer_id,
   CASE WHEN role = 'system' THEN '' ELSE 'U ' || role END AS customer_name,
   CASE WHEN role = 'system' THEN -1 ELSE 1600000000 + conv_id END AS purchased_at,
   CASE WHEN role = 'system' THEN '' ELSE 'a' END AS avatar_url,
   CASE WHEN role = 'system' THEN '' ELSE '2 tháng' END AS joined_time,
-  CASE WHEN role = 'system' THEN 0 ELSE CAST(turn AS INTEGER) END AS total_review,
-  CASE WHEN role = 'system' THEN 0 ELSE 3 END AS total_thank
+  CASE WHEN role = 'system' THEN 0 ELSE CAST(turn AS BIGINT) END AS total_review,
+  CASE WHEN role = 'system' THEN 0 ELSE CAST(3 AS BIGINT) END AS total_thank
 FROM conversations
 """
 ORACLES["json_review_rejects"] = "SELECT 'no seller' AS reason, count(*) AS n_rows FROM conversations WHERE turn % 3 = 0"
@@ -349,7 +350,7 @@ ORACLES["table_profile"] = " UNION ALL ".join(
 )
 ORACLES["multi_author_products"] = """
 SELECT p_partkey, CAST(len(list_distinct(string_split(p_name, ' '))) AS INTEGER) AS n_authors FROM part
-WHERE len(list_distinct(string_split(p_name, ' '))) > 1
+WHERE p_size % 3 <> 0 AND len(list_distinct(string_split(p_name, ' '))) > 1
 """
 ORACLES["sql_point_lookup"] = """
 SELECT l_partkey AS product_id, l_suppkey AS seller_id, l_orderkey, l_linenumber, l_quantity FROM lineitem
@@ -420,6 +421,72 @@ scores AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY for_doc_id ORDER BY score DESC, doc_id) AS r FROM scores WHERE score >= 0.1)
 SELECT for_doc_id, doc_id, score, CAST(r AS INTEGER) AS rank FROM ranked WHERE r <= 10
 """
+
+
+def _product_index(text: str) -> str:
+    return f"""
+WITH {_PRODUCTS},
+counts AS (
+  SELECT product_id, seller_id, token, count(*) AS tf
+  FROM (SELECT product_id, seller_id, unnest(string_split_regex({_normal(text)}, '\\s+')) AS token FROM sp)
+  WHERE token <> '' GROUP BY ALL
+),
+vocab AS (SELECT token, count(*) AS df FROM counts GROUP BY token HAVING count(*) >= 2),
+n AS (SELECT count(*) AS n_docs FROM sp),
+raw AS (SELECT product_id, seller_id, token, tf * log2(n_docs / df) AS w FROM counts JOIN vocab USING (token), n WHERE n_docs <> df),
+weights AS (SELECT product_id, seller_id, token, w / sqrt(sum(w * w) OVER (PARTITION BY product_id, seller_id)) AS weight FROM raw)"""
+
+
+ORACLES["product_search_top10"] = f"""
+{_product_index("product_name || ' ' || breadcrumbs")},
+asked AS (SELECT DISTINCT p_type || ' ' || p_brand AS query FROM part),
+qcounts AS (
+  SELECT query, token, count(*) AS tf FROM (SELECT query, unnest(string_split_regex({_normal("query")}, '\\s+')) AS token FROM asked)
+  WHERE token <> '' GROUP BY ALL
+),
+qraw AS (SELECT query, token, tf * log2(n_docs / df) AS w FROM qcounts JOIN vocab USING (token), n),
+q AS (SELECT query, token, w / sqrt(sum(w * w) OVER (PARTITION BY query)) AS w FROM qraw),
+scores AS (SELECT query, product_id, seller_id, round(sum(w * weight), 6) AS score FROM q JOIN weights USING (token) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, product_id, seller_id) AS r FROM scores WHERE score >= 0.1)
+SELECT query, product_id, seller_id, score, CAST(r AS INTEGER) AS rank FROM ranked WHERE r <= 10
+"""
+ORACLES["similar_to_product"] = f"""
+{_product_index("product_name || ' ' || description || ' ' || specifications")},
+wanted AS (SELECT l_partkey AS p, min(l_suppkey) AS s FROM lineitem WHERE l_suppkey <> 0 AND l_partkey % 100 = 0 GROUP BY l_partkey),
+scores AS (
+  SELECT a.product_id AS for_product_id, a.seller_id AS for_seller_id, b.product_id, b.seller_id, round(sum(a.weight * b.weight), 6) AS score
+  FROM weights a JOIN wanted ON a.product_id = p AND a.seller_id = s JOIN weights b USING (token)
+  WHERE a.product_id <> b.product_id OR a.seller_id <> b.seller_id GROUP BY ALL
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY for_product_id, for_seller_id ORDER BY score DESC, product_id, seller_id) AS r
+  FROM scores WHERE score >= 0.1
+)
+SELECT for_product_id, for_seller_id, product_id, seller_id, score, CAST(r AS INTEGER) AS rank FROM ranked WHERE r <= 10
+"""
+ORACLES["als_properties"] = """
+WITH n AS (SELECT count(*) AS items FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem))
+SELECT DISTINCT o_custkey AS customer_id, least(20, items) AS n_picks, true AS ranks_whole, true AS ratings_fall, true AS items_known
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey, n
+"""
+ORACLES["factors_top10"] = """
+WITH scores AS (
+  SELECT u.vec_id AS user_id, i.vec_id AS item_id,
+    round(list_sum(list_transform(list_zip(u.embedding, i.embedding), lambda p: CAST(p[1] AS DOUBLE) * p[2])), 4) AS score
+  FROM embeddings u, embeddings i WHERE u.vec_id % 100 = 0
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS r FROM scores)
+SELECT user_id, item_id, score, CAST(r AS INTEGER) AS rank FROM ranked WHERE r <= 10
+"""
+ORACLES["file_sources"] = """
+WITH pages AS (SELECT p_type, p_brand, count(*) AS sold, max(p_size) AS size FROM part GROUP BY ALL)
+SELECT 'folders' AS what, p_type AS name, count(*) AS n FROM pages GROUP BY p_type
+UNION ALL SELECT 'folders', '(total)', count(*) FROM pages
+UNION ALL SELECT 'products', 'sold', CAST(sum(sold) AS BIGINT) FROM pages WHERE size % 2 = 0
+UNION ALL SELECT 'rejects', 'no category', count(*) FROM pages WHERE size % 2 <> 0 HAVING count(*) > 0
+UNION ALL SELECT 'words', lower(p_type), length(p_type) FROM (SELECT DISTINCT p_type FROM part)
+UNION ALL SELECT 'tracking', 'rows', 0
+"""
 # Offers of one part share a text, so the SQL scores parts and expands them.
 ORACLES["similar_products_top10"] = """
 WITH offers AS (SELECT DISTINCT l_partkey AS product_id, l_suppkey AS seller_id FROM lineitem),
@@ -474,7 +541,33 @@ WITH ranked AS (
 )
 SELECT event_id, user_id, event_type, value FROM ranked WHERE r = 1
 """
+ORACLES["stream_two_sources"] = """
+WITH ranked AS (
+  SELECT event_id, user_id, event_type, value,
+    row_number() OVER (PARTITION BY user_id ORDER BY event_id % 2 DESC, event_id DESC) AS r
+  FROM events
+)
+SELECT event_id, user_id, event_type, value FROM ranked WHERE r = 1
+"""
 ORACLES["stream_skip_known"] = """
-SELECT event_id, user_id, event_type, value FROM events
-WHERE event_type = 'signup' OR user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'signup')
+WITH ranked AS (
+  SELECT event_id, user_id, event_type, value,
+    row_number() OVER (PARTITION BY user_id ORDER BY event_type = 'signup' DESC, event_id) AS r
+  FROM events
+)
+SELECT event_id, user_id, event_type, value FROM ranked WHERE r = 1
+"""
+ORACLES["load_rejects"] = f"""
+WITH {_PRODUCTS},
+s AS (SELECT s_suppkey AS k FROM supplier WHERE s_suppkey <> 0),
+stored AS (SELECT k FROM s WHERE k % 3 = 0 OR (k % 3 = 1 AND k % 4 = 0))
+SELECT 'categories' AS table_name, 'stored' AS tag, '' AS reason, count(DISTINCT p_type) AS n_rows FROM part
+UNION ALL SELECT 'sellers', 'stored', '', count(*) FROM stored
+UNION ALL SELECT 'brands', 'stored', '', count(DISTINCT brand_id) FROM sp
+UNION ALL SELECT 'products', 'stored', '', count(*) FROM sp WHERE seller_id IN (SELECT k FROM stored)
+UNION ALL SELECT 'products', 'day1', 'no sellers', count(*) FROM sp WHERE seller_id % 3 <> 0 HAVING count(*) > 0
+UNION ALL SELECT 'products', 'day2', 'no sellers', count(*) FROM sp WHERE seller_id NOT IN (SELECT k FROM stored) HAVING count(*) > 0
+UNION ALL SELECT 'sellers', 'day2',
+  CASE k % 4 WHEN 1 THEN 'store_level length 32' WHEN 2 THEN 'avg_rating_point decimal(4,3)' ELSE 'seller_id not null' END, count(*)
+FROM s WHERE k % 3 = 1 AND k % 4 <> 0 GROUP BY ALL
 """

@@ -10,6 +10,7 @@ from marketlens.operators.profile import counted_write
 from marketlens.plans import gold, silver
 from marketlens.plans.warehouse import load_warehouse
 from marketlens.schemas import CATEGORIES_CSV
+from marketlens.session import staged
 from marketlens.sources import files
 
 
@@ -25,17 +26,28 @@ def run(spark: SparkSession, bronze: str, lake: str, tag: str = "full", schema:
         counts[f"{layer}.{name}"] = counted_write(df, lambda out: files.write_table(out, path))
         return files.read_table(spark, path)
 
-    good_sellers, bad_sellers = D.split_readable(files.scan_documents(spark, bronze, "sellers"))
-    good_products, bad_products = D.split_products(files.scan_documents(spark, bronze, "products"))
-    good_pages, bad_pages = D.split_readable(files.scan_documents(spark, bronze, "reviews"))
-    comments, _ = D.split_comments(good_pages)
-
-    rejects = bad_sellers.select("path", "reason").unionByName(bad_products.select("path", "reason"))
-    store("bronze", "rejects", rejects.unionByName(bad_pages.select("path", "reason")))
-
-    sellers = store("silver", "sellers", silver.silver_sellers(D.seller_rows(good_sellers)))
-    products = store("silver", "products", silver.silver_products(D.product_rows(good_products), sellers))
-    reviews = store("silver", "reviews", silver.silver_reviews(D.review_rows(comments), products))
+    def parsed(kind: str):
+        """The documents of a kind, read and parsed once."""
+        return staged(files.scan_documents(spark, bronze, kind), kind)
+
+    good_sellers, bad_sellers = D.split_readable(parsed("sellers"))
+    good_products, bad_products = D.split_products(parsed("products"))
+    good_pages, bad_pages = D.split_readable(parsed("reviews"))
+    comments, lost_comments = D.split_comments(good_pages)
+
+    rejects = None
+    for bad in (bad_sellers, bad_products, bad_pages, lost_comments):
+        rows = bad.select("path", "reason")
+        rejects = rows if rejects is None else rejects.unionByName(rows)
+    store("bronze", "rejects", rejects)
+
+    # Of documents with equal keys the first path stays, of comments the first place in it.
+    by_path = [F.col("path")]
+    seller_rows = D.seller_rows(good_sellers, ["path"])
+    sellers = store("silver", "sellers", silver.silver_sellers(seller_rows, by_path).drop("path"))
+    products = store("silver", "products", silver.silver_products(D.product_rows(good_products, ["path"]), sellers, by_path))
+    review_rows = D.review_rows(comments, ["path", "position"])
+    reviews = store("silver", "reviews", silver.silver_reviews(review_rows, products, [*by_path, F.col("position")]))
     categories = store("silver", "categories", files.read_csv(spark, f"{bronze}/categories.csv", CATEGORIES_CSV))
 
     tables = {name: store("gold", name, df) for name, df in gold.normalise(products, reviews).items()}

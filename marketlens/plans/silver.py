@@ -34,10 +34,13 @@ def silver_sellers(sellers: DataFrame, order: Sequence[Column] = ()) -> DataFram
     return keep_one(named, ["seller_id"], order)
 
 
-def silver_products(products: DataFrame, sellers: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
-    """Products of known sellers. The seller test drops whole keys, so it can come first."""
+def silver_products(products: DataFrame, sellers: DataFrame, order: Sequence[Column] = (), unique: bool = False) -> DataFrame:
+    """Products of known sellers. The seller test drops whole keys, so it can come first.
+
+    ``unique`` says that ``products`` holds each key once, so that no wide row is sorted for it.
+    """
     known = existing(products, sellers, ["seller_id"], unique=True)
-    return clean_products(keep_one(known, PRODUCT_KEYS, order)).select(*PRODUCT_COLUMNS)
+    return clean_products(known if unique else keep_one(known, PRODUCT_KEYS, order)).select(*PRODUCT_COLUMNS)
 
 
 def clean_products(products: DataFrame) -> DataFrame:
@@ -53,10 +56,10 @@ def clean_products(products: DataFrame) -> DataFrame:
     ).na.fill(0, ["quantity_sold"])
 
 
-def silver_reviews(reviews: DataFrame, products: DataFrame, order: Sequence[Column] = ()) -> DataFrame:
-    """Reviews of known products, one row per review."""
+def silver_reviews(reviews: DataFrame, products: DataFrame, order: Sequence[Column] = (), unique: bool = False) -> DataFrame:
+    """Reviews of known products, one row per review; ``unique`` says that each review id occurs once."""
     known = existing(reviews, products, PRODUCT_KEYS, unique=True)
-    return clean_reviews(keep_one(known, ["review_id"], order)).select(*REVIEW_COLUMNS)
+    return clean_reviews(known if unique else keep_one(known, ["review_id"], order)).select(*REVIEW_COLUMNS)
 
 
 def clean_reviews(reviews: DataFrame) -> DataFrame:

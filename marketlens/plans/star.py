@@ -55,25 +55,23 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").withColumn("line", line)
 
 
-def newest_listing() -> list[Column]:
-    return [F.desc("listed_at"), F.col("line")]
-
-
 def first_review() -> list[Column]:
     return [F.col("line")]
 
 
 def listings(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per sighting of an offer; ``listed_at`` and ``line`` order the sightings."""
-    lines = _lines(spark, sf)
+    """The newest sighting of every offer.
+
+    It is chosen on the columns of the line; what the part adds is joined and derived afterwards, for
+    one row per offer.
+    """
+    lines = keep_one(_lines(spark, sf), ["l_partkey", "l_suppkey"], [F.desc("l_shipdate"), F.col("line")])
     part = table(spark, sf, "part")
     category = f"cast(array_position({sql_list(CATEGORY_TITLES)}, p_type) as bigint)"
     author = "named_struct('author_id', cast(conv(substring(md5(w), 1, 8), 16, 10) as bigint), 'author_name', w)"
     return lines.join(part, lines.l_partkey == part.p_partkey).selectExpr(
         "l_partkey as product_id",
         "l_suppkey as seller_id",
-        "l_shipdate as listed_at",
-        "line",
         "concat('SKU', l_partkey) as product_sku",
         "p_name as product_name",
         "concat('https://shop.example/p', l_partkey, '?spid=', l_suppkey) as product_url",
@@ -119,16 +117,19 @@ def offer_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def review_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per line item, in the shape of a parsed review; ``line`` orders equal ids."""
-    lines = _lines(spark, sf)
+    """The first review of every id among those of known offers, in the shape of a parsed review.
+
+    It is chosen on the columns of the line, before orders and customers are joined.
+    """
+    lines = _lines(spark, sf).filter("l_suppkey <> 0").withColumn("review_id", F.expr("l_orderkey * 8 + l_linenumber"))
+    lines = keep_one(lines, ["review_id"], first_review())
     orders = table(spark, sf, "orders")
     customer = table(spark, sf, "customer")
     bought = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
     return lines.join(bought, lines.l_orderkey == bought.o_orderkey).selectExpr(
-        "l_orderkey * 8 + l_linenumber as review_id",
+        "review_id",
         "l_partkey as product_id",
         "l_suppkey as seller_id",
-        "line",
         "concat('Order ', l_orderkey) as title",
         "concat(l_returnflag, ' ', l_linestatus, ' ', o_orderpriority) as content",
         "'approved' as status",

@@ -16,31 +16,31 @@ PRODUCT_DOC = """
     images array<struct<base_url:string>>,
     specifications array<struct<attributes:array<struct<name:string,value:string>>>>,
     breadcrumbs array<struct<category_id:bigint,name:string>>,
-    list_price bigint, discount bigint, price bigint, discount_rate int,
+    list_price decimal(15,2), discount decimal(15,2), price decimal(15,2), discount_rate double,
     tracking_info struct<amplitude:struct<is_authentic:string,is_freeship_xtra:string,
         is_hero:string,is_top_brand:string,return_reason:string>>,
     inventory_status string, inventory_type string,
-    all_time_quantity_sold int, day_ago_created int,
+    all_time_quantity_sold bigint, day_ago_created bigint,
     brand struct<id:bigint,name:string>,
     authors array<struct<id:bigint,name:string>>,
-    rating_average double, review_count int,
+    rating_average double, review_count bigint,
     current_seller struct<store_id:bigint,id:bigint,sku:string,name:string,link:string,logo:string>,
     warranty_info array<struct<name:string,value:string>>
 """
 
 SELLER_DOC = """
     data struct<seller:struct<id:bigint,name:string,icon:string,url:string,
-        avg_rating_point:double,review_count:int,total_follower:int,
-        days_since_joined:int,is_official:boolean,store_level:string>>
+        avg_rating_point:double,review_count:bigint,total_follower:bigint,
+        days_since_joined:bigint,is_official:boolean,store_level:string>>
 """
 
 REVIEW_DOC = """
     data array<struct<id:bigint,product_id:bigint,seller:struct<id:bigint>,title:string,
-        content:string,status:string,thank_count:int,rating:int,created_at:bigint,
+        content:string,status:string,thank_count:bigint,rating:double,created_at:bigint,
         customer_id:bigint,
         created_by:struct<full_name:string,purchased_at:bigint,avatar_url:string,
-            contribute_info:struct<summary:struct<joined_time:string,total_review:int,
-                total_thank:int>>>>>
+            contribute_info:struct<summary:struct<joined_time:string,total_review:bigint,
+                total_thank:bigint>>>>>
 """
 
 LISTING_DOC = "data array<struct<id:bigint,seller_product_id:bigint,seller_id:bigint>>"

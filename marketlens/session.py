@@ -33,7 +33,7 @@ def build_session(app: str = "marketlens", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may go without the setting; it then gets a temporary folder.
+    A cluster must set it. A local session without it, as in tests, gets a temporary folder.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -51,26 +51,24 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_STAGED: list[str] = []
+
+
+def release_staged(spark: SparkSession) -> None:
+    """Deletes what this process has staged so far; results that read it must be stored or consumed before."""
+    while _STAGED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back, for plans that use it twice.
 
+    It stays until :func:`release_staged`, as the plans that read it may run at any later time.
+
     ``by`` names a column with few values whose rows are read apart later.
     """
     path = fresh_path(df.sparkSession, label)
+    _STAGED.append(path)
     df.write.parquet(path, partitionBy=by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores when its input is less than one file split per core.
-
-    Few large row groups would otherwise keep costly per-row work on few cores. Input of the
-    size a cluster is made for is above the limit and is not moved.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes").lower().replace("bytes", "")
-    )
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * split else df

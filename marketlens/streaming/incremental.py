@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlens.operators.keys import append_rows, keep_one, unknown
-from marketlens.operators.load import upsert
+from marketlens.session import staged
 from marketlens.sources.files import path_exists
-from marketlens.sources.versions import is_loaded, publish, read_current
+from marketlens.sources.versions import BUCKETS, is_loaded, publish_upsert
 
 
 def run_available(
@@ -38,53 +38,61 @@ def run_available(
     query.awaitTermination()
 
 
-def read_tracking(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Keys of all batches so far; empty before the first."""
+def read_tracking(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Keys of all batches so far with the load that took them and their bucket; empty before the first."""
+    full = T.StructType([*schema.fields, T.StructField("load", T.StringType()), T.StructField("bucket", T.IntegerType())])
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(path)
 
 
-def new_keys_only(tracking: str, keys: Sequence[str], handle: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """Batch handler that passes on rows with unseen keys and records those keys.
-
-    The keys of a batch go to a folder named after it, so a repeated batch replaces its own
-    record, and its keys are not taken for known ones.
+def new_keys_only(
+    tracking: str,
+    keys: Sequence[str],
+    handle: Callable[[DataFrame, int], None],
+    order: Sequence[Column],
+    stream: str,
+    buckets: int = BUCKETS,
+) -> Callable[[DataFrame, int], None]:
+    """Batch handler that passes on one row per unseen key, the first in ``order``, and records those keys.
+
+    The keys of a batch are recorded under ``stream`` (a name that no other source of the same tracking
+    folder has) and the batch, so a repeated batch replaces its own record and its keys are not taken
+    for known ones. They are bucketed by hash, and a batch reads the buckets of its own keys only.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        mine = f"{tracking}/batch={batch_id}"
-        schema = batch.select(*keys).schema
-        seen = read_tracking(spark, tracking, schema).filter(
-            ~F.col("_metadata.file_path").contains(f"/batch={batch_id}/")
-        ) if path_exists(spark, tracking) else spark.createDataFrame([], schema)
-        fresh = unknown(batch, seen, keys, unique=True)
+        load = f"{stream}-{batch_id}"
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        first = staged(keep_one(batch, keys, order).withColumn("_bucket", bucket), "batch")
+        touched = [r[0] for r in first.select("_bucket").distinct().collect()]
+        seen = read_tracking(spark, tracking, batch.select(*keys).schema)
+        seen = seen.filter((F.col("load") != load) & F.col("bucket").isin(touched)).select(*keys)
+        fresh = staged(unknown(first.drop("_bucket"), seen, keys, unique=True), "fresh")
         handle(fresh, batch_id)
-        fresh.select(*keys).distinct().write.mode("overwrite").parquet(mine)
+        recorded = fresh.select(*keys, bucket.alias("bucket"))
+        recorded.write.mode("overwrite").partitionBy("bucket").parquet(f"{tracking}/load={load}")
 
     return run
 
 
 def track(tracking: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Candidates not tracked yet, and the tracking table with them added."""
-    fresh = unknown(candidates, tracking, keys, unique=True)
+    """Candidates not tracked yet, each key once, and the tracking table with them added."""
+    fresh = keep_one(unknown(candidates, tracking, keys, unique=True), keys)
     return fresh, append_rows(tracking, fresh.select(*tracking.columns))
 
 
-def upsert_batches(base: str, keys: Sequence[str], order: Sequence[Column]) -> Callable[[DataFrame, int], None]:
+def upsert_batches(base: str, keys: Sequence[str], order: Sequence[Column], stream: str) -> Callable[[DataFrame, int], None]:
     """Batch handler that upserts the first row per key in ``order`` into the table at ``base``.
 
-    A batch already published is skipped, so a restart does not apply it twice.
+    A batch already published is skipped, so a restart does not apply it twice. ``stream`` names the
+    source: batches of different sources have the same numbers, and so has a renewed checkpoint.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        tag = f"batch{batch_id}"
-        if is_loaded(spark, base, tag):
-            return
-        latest = keep_one(batch, keys, order)
-        target = read_current(spark, base)
-        publish(latest if target is None else upsert(target, latest, keys), base, tag)
+        tag = f"{stream}-{batch_id}"
+        if not is_loaded(batch.sparkSession, base, tag):
+            publish_upsert(keep_one(batch, keys, order), base, keys, tag)
 
     return run

@@ -124,7 +124,6 @@ def test_makers_prefers_authors_and_sorts_them(spark):
 def test_lookups(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (2, 1)], "product_id int, seller_id int")
     assert rows(serving.find(df, product_id=1, seller_id=2)) == [(1, 2)]
-    assert rows(serving.other_items(df, 1, 2)) == [(1, 1), (2, 1)]
     assert rows(serving.sql_view(df, "v", "select * from v where product_id = :p", p=2)) == [(2, 1)]
 
 

@@ -8,7 +8,8 @@ from marketlens.plans import pipeline, warehouse
 from marketlens.schemas import TRACKING_CSV, WAREHOUSE
 from marketlens.session import fresh_path, shared_dir
 from marketlens.sources import files
-from marketlens.sources.versions import current_version, publish, read_current
+from marketlens.sources import versions
+from marketlens.sources.versions import current_version, publish, publish_upsert, read_current
 from marketlens.streaming import incremental
 
 
@@ -61,6 +62,7 @@ def bronze(tmp_path_factory):
     put("books/2_5/product_2_5.json", product(2, 5, brand="drop", warranty_info="drop", specifications="drop", images="drop", authors=[]))
     put("books/3_9/product_3_9.json", product(3, 9))
     put("books/4_5/product_4_5.json", product(4, 5, breadcrumbs=[]))
+    put("books/8_5/product_8_5.json", product(8, 5, breadcrumbs=[{"name": "X"}, {"name": "self"}], list_price=99.5, price=99.5, images="drop", authors=[], brand="drop"))
     put("books/5_5/product_5_5.json", product(5, 5, authors=[{"name": "no id"}]))
     put("books/6_5/product_6_5.json", '{"id": 6, "name"')
     put("books/1_5/seller_1_5.json", seller(5))
@@ -101,23 +103,26 @@ def test_unknown_kind(spark, bronze):
 
 def test_file_listing(spark, bronze):
     listed = files.list_files(spark, bronze, "*.json")
-    assert listed.columns == ["path"] and listed.count() == 12
+    assert listed.columns == ["path"] and listed.count() == 13
 
 
 def test_whole_pipeline(spark, bronze):
     lake = fresh_path(spark, "lake")
     counts = pipeline.run(spark, bronze, lake)
-    assert counts["silver.products"] == 2 and counts["silver.sellers"] == 1 and counts["silver.reviews"] == 2
-    assert counts["bronze.rejects"] == 3 and counts["gold.images_url"] == 2 and counts["gold.brands"] == 2
+    assert counts["silver.products"] == 3 and counts["silver.sellers"] == 1 and counts["silver.reviews"] == 2
+    assert counts["bronze.rejects"] == 4 and counts["gold.images_url"] == 2 and counts["gold.brands"] == 2
     stored = warehouse.open_warehouse(spark, f"{lake}/warehouse")
     assert {name: df.count() for name, df in stored.items()} == {
-        "categories": 2, "sellers": 1, "brands": 2, "authors": 1, "users": 2, "products": 2, "products_authors": 1,
+        "categories": 2, "sellers": 1, "brands": 2, "authors": 1, "users": 2, "products": 3, "products_authors": 1,
         "images_url": 1, "reviews": 2,
     }
     brand = spark.sql("select brand_name, warranty_period, warranty_type, quantity_sold, return_reason from products join brands using (brand_id) order by product_id")
     assert [tuple(r) for r in brand.collect()] == [
         ("Bút", 180, "Không bảo hành", 0, "Không đổi trả"), ("No Brand", 0, "Không bảo hành", 0, "Không đổi trả"),
+        ("No Brand", 180, "Không bảo hành", 0, "Không đổi trả"),
     ]
+    priced = stored["products"].filter("product_id = '8'").collect()[0]
+    assert (str(priced["price"]), priced["category_id"]) == ("99.50", None)
     review = stored["reviews"].filter("review_id = '1'").collect()[0]
     assert str(review["created_at"]) == "2023-11-14 22:13:20"
     again = pipeline.run(spark, bronze, lake)
@@ -131,6 +136,69 @@ def test_repeated_key_in_a_batch_is_refused(spark):
         warehouse.load_table(df, WAREHOUSE["brands"], fresh_path(spark, "dwh"))
 
 
+def test_null_key_is_refused_and_kept_apart(spark):
+    base = fresh_path(spark, "dwh")
+    df = spark.createDataFrame([(None, "a"), ("1", "b")], "brand_id string, brand_name string")
+    for _ in range(3):
+        warehouse.load_table(df, WAREHOUSE["brands"], base)
+    assert [tuple(r) for r in read_current(spark, f"{base}/brands").collect()] == [("1", "b")]
+    assert [(r["table_name"], r["reason"]) for r in warehouse.read_rejects(spark, base).collect()] == [("brands", "brand_id not null")]
+
+
+def test_values_that_do_not_fit_are_refused_not_emptied(spark):
+    base = fresh_path(spark, "dwh")
+    rows = [("1", "1", "1", "4.5", "2024-01-02 03:04:05"), ("2", "1", "1", "12.5", None), ("3", "1", "1", None, "no date"), ("4", None, "1", None, None)]
+    raw = spark.createDataFrame(rows, "review_id string, product_id string, customer_id string, rating string, created_at string")
+    raw = raw.selectExpr("*", "'1' as seller_id", "repeat('t', 300) as title", "'c' as content", "1 as thank_count", "cast(null as timestamp) as purchased_at")
+    warehouse.load_table(raw, WAREHOUSE["reviews"], base)
+    assert [r["review_id"] for r in read_current(spark, f"{base}/reviews").collect()] == ["1"]
+    reasons = {json.loads(r["row"])["review_id"]: r["reason"] for r in warehouse.read_rejects(spark, base).collect()}
+    assert reasons == {"2": "rating decimal(2,1)", "3": "created_at timestamp", "4": "product_id not null"}
+
+
+def test_rows_without_parent_are_refused(spark):
+    base = fresh_path(spark, "dwh")
+    warehouse.load_warehouse({"authors": spark.createDataFrame([("7", "An")], "author_id string, author_name string")}, base)
+    bridge = spark.createDataFrame([("1", "1", "7"), ("1", "1", "8")], "product_id string, seller_id string, author_id string")
+    warehouse.load_warehouse({"products_authors": bridge}, base)
+    assert [r["author_id"] for r in read_current(spark, f"{base}/products_authors").collect()] == ["7"]
+    assert [r["reason"] for r in warehouse.read_rejects(spark, base).collect()] == ["no authors"]
+
+
+def test_two_loads_of_one_version_do_not_undo_each_other(spark, monkeypatch):
+    base = fresh_path(spark, "table")
+    publish(spark.range(3).toDF("i"), base)
+    stale = versions._newest(spark, base)
+    publish(spark.range(4).toDF("i"), base)
+    monkeypatch.setattr(versions, "_newest", lambda s, b: stale)
+    with pytest.raises(versions.ConcurrentLoad):
+        publish(spark.range(5).toDF("i"), base)
+    monkeypatch.undo()
+    assert read_current(spark, base).count() == 4
+
+
+def test_upsert_writes_only_the_buckets_it_touches(spark):
+    base = fresh_path(spark, "table")
+    publish_upsert(spark.range(200).selectExpr("id as k", "'a' as v"), base, ["k"], "t0", 16)
+    first = versions._newest(spark, base)["folders"]
+    for i in range(1, 6):
+        publish_upsert(spark.createDataFrame([(5, f"v{i}")], "k bigint, v string"), base, ["k"], f"t{i}", 16)
+    last = versions._newest(spark, base)["folders"]
+    assert sum(first[b] != last[b] for b in last) == 1
+    got = {r["k"]: r["v"] for r in read_current(spark, base).collect()}
+    assert len(got) == 200 and got[5] == "v5" and got[6] == "a"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/data")
+    kept = {s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)}
+    assert len(kept) <= 1 + 5
+
+
+def test_sources_with_equal_batch_numbers_both_arrive(spark):
+    base = fresh_path(spark, "stream")
+    for name, k in (("a", 1), ("b", 2)):
+        incremental.upsert_batches(base, ["k"], [F.col("k")], name)(spark.createDataFrame([(k,)], "k int"), 0)
+    assert sorted(r["k"] for r in read_current(spark, base).collect()) == [1, 2]
+
+
 def test_tagged_load_is_applied_once(spark):
     base = fresh_path(spark, "dwh")
     df = spark.createDataFrame([("1", "a")], "brand_id string, brand_name string")
@@ -189,7 +257,7 @@ def test_stream_takes_each_file_once(spark):
 
 def test_upsert_batch_is_idempotent(spark):
     base = fresh_path(spark, "stream")
-    run = incremental.upsert_batches(base, ["k"], [F.desc("t")])
+    run = incremental.upsert_batches(base, ["k"], [F.desc("t")], "s")
     first = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k int, t int, v string")
     run(first, 0)
     run(spark.createDataFrame([(1, 3, "x")], first.schema), 1)
@@ -200,8 +268,14 @@ def test_upsert_batch_is_idempotent(spark):
 def test_known_keys_are_skipped_and_a_repeated_batch_is_not(spark):
     base = fresh_path(spark, "stream")
     got = {}
-    run = incremental.new_keys_only(base, ["k"], lambda fresh, i: got.update({i: sorted(r["v"] for r in fresh.collect())}))
+    take = lambda fresh, i: got.update({i: sorted(r["v"] for r in fresh.collect())})
+    run = incremental.new_keys_only(base, ["k"], take, [F.col("v")], "s")
     run(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), 0)
     run(spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string"), 1)
     run(spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string"), 1)
     assert got == {0: ["a", "b"], 1: ["d"]}
+    run(spark.createDataFrame([(4, "f"), (4, "e"), (1, "x")], "k int, v string"), 2)
+    assert got[2] == ["e"]
+    other = incremental.new_keys_only(base, ["k"], take, [F.col("v")], "t")
+    other(spark.createDataFrame([(4, "g"), (5, "h")], "k int, v string"), 0)
+    assert got[0] == ["h"]
