@@ -70,5 +70,5 @@ def staged(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """
     path = fresh_path(df.sparkSession, label)
     _STAGED.append(path)
-    df.write.parquet(path, partitionBy=by)
+    df.write.parquet(path, partitionBy=by, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
