@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import decontaminate, html, jaccard, langid, mixing, mixing_sql, quality, rules, rules_sql, secrets, substrings, warc
+from marketlens.llm import decontaminate, html, jaccard, langid, mixing, mixing_sql, oracles, quality, rules, rules_sql, secrets, substrings, warc
 from marketlens.llm.common import crc_part, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,4 +76,12 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf, "documents")).withColumn("p_good", F.round("p_good", 6))
 
 
-ORACLES: dict[str, str] = {"op1_source_mix": mixing_sql.sql(), "op10_quality_rules": rules_sql.sql()}
+ORACLES: dict[str, str] = {
+    "op1_source_mix": mixing_sql.sql(),
+    "op3_warc_round_trip": oracles.WARC,
+    "op5_secret_scan": oracles.SECRETS,
+    "op7_ngram_jaccard": oracles.JACCARD,
+    "op8_substring_dedup": oracles.SUBSTRINGS,
+    "op9_main_text": oracles.MAIN_TEXT,
+    "op10_quality_rules": rules_sql.sql(),
+}
