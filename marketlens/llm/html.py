@@ -24,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import column, slices, texts
+from marketlens.llm.common import bounded_sample, column, slices, texts
 
-SAMPLE_PAGES = 500  # labelled pages that the weights are fitted on, at most
+SAMPLE_PAGES = 500  # labelled pages that the weights are fitted on, about at most
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -158,13 +158,9 @@ def weights_from(found: Counter) -> dict[str, float]:
 
 
 def fit_weights(pages: DataFrame, key: str = "page_id", page: str = "html", most: int = SAMPLE_PAGES) -> dict[str, float]:
-    """Weights from at most ``most`` pages that mark their main text, taken in the order of their hashes."""
-    marked = pages.filter(F.lower(page).contains("<article"))
-    order = F.xxhash64(key)
-    ids = marked.select(order.alias("h")).orderBy("h").limit(most).agg(F.max("h")).first()[0]
-    if ids is None:
-        return weights_from(Counter())
-    sample = marked.filter(order <= ids).select(page).limit(most)
+    """Weights from about ``most`` pages at most that mark their main text, drawn by the hashes of their keys."""
+    marked = pages.select(key, page).filter(F.lower(page).contains("<article"))
+    sample = bounded_sample(marked, key, most).select(page)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, page):

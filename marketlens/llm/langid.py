@@ -24,12 +24,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import column, slices, texts
+from marketlens.llm.common import bounded_sample, column, slices, texts
 
 DIMENSIONS = 1024
 N = 3
 CODES = 64  # letter codes, 0 for what stands between words
-SAMPLE_DOCS = 4000  # labelled documents that the prototypes are fitted on, at most
+SAMPLE_DOCS = 4000  # labelled documents that the prototypes are fitted on, about at most
 SLICE = 2 << 20  # bytes of text that a task holds at a time
 SEED = 20240229
 
@@ -96,19 +96,12 @@ class Vectors:
         return np.concatenate(out) if out else np.zeros((0, self.rows.shape[1]), np.float32)
 
 
-def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
-    """At most ``most`` rows (more only where keys repeat): those whose keys have the smallest hashes."""
-    order = F.xxhash64(key)
-    last = rows.select(order.alias("h")).orderBy("h").limit(most).agg(F.max("h")).first()[0]
-    return rows.filter(order <= last) if last is not None else rows.limit(0)
-
-
 def fit_prototypes(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", most: int = SAMPLE_DOCS) -> dict[str, np.ndarray]:
     """A unit vector per language, from the rows where ``train`` holds and language and text are known.
 
     Tasks bundle what they read, so the driver gets one vector per language.
     """
-    known = docs.filter(train & F.col(lang).isNotNull() & F.col(text).isNotNull())
+    known = docs.filter(train & F.col(lang).isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, vectors, sums = letter_codes(), Vectors(DIMENSIONS), {}
@@ -123,7 +116,7 @@ def fit_prototypes(docs: DataFrame, train: Column, key: str = "doc_id", text: st
         at = np.tile(np.arange(DIMENSIONS, dtype=np.int32), len(sums))
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(at), pa.array(values)], names=["lang", "at", "value"])
 
-    sample = bounded_sample(known.select(key, text, lang), key, most).select(text, lang)
+    sample = bounded_sample(known, key, most).filter(F.col(text).isNotNull()).select(text, lang)
     parts = sample.mapInArrow(run, "lang string, at int, value double")
     rows = parts.groupBy("lang", "at").agg(F.sum("value").alias("value")).collect()
     found: dict[str, np.ndarray] = {}

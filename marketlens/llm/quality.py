@@ -26,17 +26,19 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from marketlens.llm.common import FOLD, column, mixed, slices, texts
-from marketlens.llm.langid import bounded_sample
+from marketlens.llm.common import FOLD, bounded_sample, column, mixed, slices, texts
+from marketlens.session import staged
 
 DIMENSIONS = 64
 NONZERO = 4  # entries of an index vector that are not 0
 WINDOW = 2  # words to either side that make a word's context
 VOCABULARY = 20_000  # words as written that get a vector, the most frequent of the sample
 SAMPLE_DOCS = 4000  # labelled documents that are fitted on, at most
+SAMPLE_BYTES = 64 << 20  # of their texts, at most
 HIDDEN = 32
 EPOCHS = 200
 SEED = 7
@@ -171,13 +173,16 @@ def train_network(model: Model, x: np.ndarray, y: np.ndarray) -> None:
 
 
 def fit_model(docs: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id", text: str = "text", label: str = "quality", most: int = SAMPLE_DOCS) -> Model:
-    """A model from at most about ``most`` labelled rows where ``train`` holds; they go to the driver.
+    """A model from at most ``most`` labelled rows where ``train`` holds, and ``SAMPLE_BYTES`` of their text.
 
-    A document with several labels counts by their mean.
+    They are drawn by the hashes of their keys and go to the driver. A document with several labels counts by their mean.
     """
-    known = labels.filter(F.col(label).isNotNull()).groupBy(key).agg(F.avg(label).alias("label"))
-    known = bounded_sample(known.filter(train), key, most)
-    rows = docs.select(key, text).join(F.broadcast(known), key).dropDuplicates([key]).orderBy(F.xxhash64(key)).limit(most).collect()
+    known = labels.filter(train & F.col(label).isNotNull()).groupBy(key).agg(F.avg(label).alias("label"))
+    known = staged(bounded_sample(known, key, most), "labels")
+    found = staged(docs.select(key, text).join(F.broadcast(known), key).dropDuplicates([key]), "sample")
+    size, order = F.octet_length(F.coalesce(text, F.lit(""))), F.xxhash64(key)
+    before = W.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = found.withColumn("_bytes", F.sum(size).over(before)).filter(F.col("_bytes") <= SAMPLE_BYTES).orderBy(order).limit(most).collect()
     data = [(r[text] or "").encode() for r in rows]
     model = train_vectors(data)
     if rows:
