@@ -201,11 +201,18 @@ def _finish(rows: DataFrame, key_kind: str) -> DataFrame:
 
 
 def repeated_windows(parts: DataFrame) -> DataFrame:
-    """(number, start) of the windows met once in their slice that occur elsewhere too."""
-    by_anchor = parts.repartition("anchor").withColumn("of_anchor", F.count("*").over(W.partitionBy("anchor")))
+    """(number, start) of the windows met once in their slice that occur elsewhere too.
+
+    Known repeats are made unique first, with a map-side combine: every slice sends those of a passage
+    that many documents share.
+    """
+    known = parts.filter("number IS NULL").select("anchor", "windows").distinct()
+    lists = known.select("anchor", F.lit(None).cast("long").alias("number"), "windows", F.array().cast("array<int>").alias("starts"))
+    rows = parts.filter("number IS NOT NULL").select("anchor", "number", "windows", "starts").unionByName(lists)
+    by_anchor = rows.repartition("anchor").withColumn("of_anchor", F.count("*").over(W.partitionBy("anchor")))
     several = by_anchor.filter("of_anchor > 1")
-    starts = F.coalesce("starts", F.array().cast("array<int>"))
-    windows = several.select("anchor", "number", F.explode(F.arrays_zip(F.col("windows").alias("w"), starts.alias("s"))).alias("x"))
+    # A known repeat has no starts, which leaves them null.
+    windows = several.select("anchor", "number", F.explode(F.arrays_zip(F.col("windows").alias("w"), F.col("starts").alias("s"))).alias("x"))
     counted = windows.select("anchor", "number", F.col("x.w").alias("w"), F.col("x.s").alias("s"))
     # A row without a number stands for two or more windows, one with a number for one.
     again = W.partitionBy("anchor", "w")
