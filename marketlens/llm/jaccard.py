@@ -261,8 +261,9 @@ def _labelled(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: key, size of its set, and the least key of its component."""
     rows = staged(_labelled(docs, [key], text).select(F.col("row")[key].alias("doc_id"), "size", "comp"), "components")
-    least = rows.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least")).withColumnRenamed("comp", "of")
-    named = F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("least"))
+    least = rows.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1")
+    least = staged(least.select(F.col("comp").alias("of"), "least"), "least")
+    named = F.when(F.col("of").isNull(), F.col("doc_id")).otherwise(F.col("least"))
     return rows.join(least, rows.comp == least.of, "left").select("doc_id", F.col("size").alias("n_shingles"), named.alias("component_id"))
 
 
@@ -272,6 +273,6 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     light = staged(rows.filter("comp IS NOT NULL").select("number", F.col("row")[key].alias("key"), "comp"), "members")
     order = F.struct(F.col("key").isNull().alias("last"), "key", "number")
     first = light.groupBy("comp").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    first = first.select(F.col("comp").alias("of"), F.col("first.number").alias("stays"))
+    first = staged(first.select(F.col("comp").alias("of"), F.col("first.number").alias("stays")), "first")
     goes = light.join(first, light.comp == first.of).filter("number <> stays").select(F.col("number").alias("gone"))
     return rows.join(goes, rows.number == goes.gone, "left_anti").select("row.*")
