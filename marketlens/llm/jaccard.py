@@ -11,8 +11,9 @@ similarity is 0.75 or more; the result gives each document its component of link
    right result; a good one keeps the lists below short.
 3. Light (small) sets enumerate the subsets of two of their rarest shingles; heavy (large) ones go to
    the inverted lists of single shingles. A light set large enough to link with a heavy one goes to
-   both. The boundary is the size up to which the subsets of a set cost less than reading its lists,
-   at the mean length of a list that the sketch shows.
+   both. The boundary is the size up to which the subsets of a set cost less than its lists, which
+   are read once and again in every round that connects their members, at the mean length of a list
+   that the sketch shows.
 4. Sets that share a key may link, and what may link is connected by a chain of keys. Each such
    candidate component is compared exactly, in blocks of bounded size: the task of a pair of blocks
    scans the inverted lists of its sets, which counts overlaps exactly, and keeps the links that
@@ -93,9 +94,12 @@ def _sketch(docs: DataFrame, text: str) -> sketch.Sketch:
 
 
 def boundary(mean_list: float) -> int:
-    """The largest size whose subsets of two, p(p+1)/2, cost no more than its p lists at 1 + mean length each."""
+    """The largest size whose subsets of two, p(p+1)/2, cost no more than its p lists.
+
+    Connecting the members of a list takes rounds that grow with the logarithm of its length.
+    """
     size = 2
-    while size < 1000 and (size + 1 - need(size + 1) + 2) / 2 <= 1 + mean_list:
+    while (size + 1 - need(size + 1) + 2) / 2 <= 1 + np.log2(1 + mean_list):
         size += 1
     return size
 
