@@ -54,11 +54,23 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 _STAGED: list[str] = []
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def release_staged(spark: SparkSession) -> None:
     """Deletes what this process has staged so far; results that read it must be stored or consumed before."""
     while _STAGED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _STAGED.pop())
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes a staged table that nothing reads any more, such as the one a later round has replaced."""
+    path = getattr(table, "_staged_at", None)
+    if path in _STAGED:
+        _STAGED.remove(path)
+        _delete(table.sparkSession, path)
 
 
 def staged(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
@@ -71,4 +83,6 @@ def staged(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     _STAGED.append(path)
     df.write.parquet(path, partitionBy=by, compression="zstd")
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._staged_at = path
+    return table
