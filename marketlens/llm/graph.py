@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.session import staged
+from marketlens.session import discard, staged
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -24,7 +24,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         large = both.join(low, both.u == low.w).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), "m")
         moved = large.join(low, large.u == low.w).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = staged(moved.union(low.select("w", "m")).distinct(), "edges")
+        pairs, replaced = staged(moved.union(low.select("w", "m")).distinct().toDF("u", "v"), "edges"), pairs
+        discard(replaced)
         after = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if after == before or not after[0]:
             return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))

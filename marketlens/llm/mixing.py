@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import BLANKS
-from marketlens.session import staged
+from marketlens.session import discard, staged
 
 ROUNDS = 10
 CLIP_ROUNDS = 8
@@ -79,13 +79,15 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     A margin value without a target keeps no weight; a target without cells is left out of its margin.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    raked = cells.withColumn("raked", F.col("tokens").cast("double"))
+    raked = before = cells.withColumn("raked", F.col("tokens").cast("double"))
     for _ in range(rounds):
         for margin, target in targets.items():
             now = raked.groupBy(margin).agg(F.sum("raked").alias("now")).withColumnRenamed(margin, "m")
             scale = now.join(target, now.m == target.value).filter("now > 0").select("m", (F.col("share") * total / F.col("now")).alias("f"))
             raked = raked.join(scale, raked[margin] == scale.m, "left").withColumn("raked", F.col("raked") * F.coalesce("f", F.lit(0.0))).drop("m", "f")
         raked = staged(raked, "raked")
+        discard(before)
+        before = raked
     return raked
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import BLANKS
-from marketlens.session import staged
+from marketlens.session import discard, staged
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -122,6 +122,7 @@ def fit(voted: DataFrame, rounds: int = ROUNDS) -> tuple[dict[str, float], float
             break
         rates = {r: (row[f"{r}_right"] + START_RATE * STRENGTH) / (row[f"{r}_all"] + STRENGTH) for r in RULES}
         prior = (row["good"] + START_PRIOR * STRENGTH) / (row["all"] + STRENGTH)
+    discard(patterns)
     return rates, prior
 
 

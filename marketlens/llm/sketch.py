@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import column, mixed
+from marketlens.session import discard
 
 BLOCK = 1 << 16
 PART = "block int, places binary"
@@ -77,11 +78,12 @@ class Sketch:
 
     @classmethod
     def load(cls, merged: DataFrame, width: int, depth: int) -> Sketch:
-        """The merged sketch on the driver: width * depth / 2 bytes."""
+        """The merged sketch on the driver, width * depth / 2 bytes; its table is not read again."""
         packed = np.zeros(width * depth // 2, np.uint8)
         half = BLOCK // 2
         for row in merged.toLocalIterator():
             packed[row["block"] * half : (row["block"] + 1) * half] = np.frombuffer(row["levels"], np.uint8)
+        discard(merged)
         return cls(width, depth, packed)
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
