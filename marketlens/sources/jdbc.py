@@ -33,6 +33,22 @@ def write_staging(df: DataFrame, spec: TableSpec, url: str, schema: str, day: st
     return name
 
 
+def merge_statements(spec: TableSpec, schema: str, staging: str) -> list[str]:
+    """SQL that merges a staging table into its target in one transaction and drops it.
+
+    Rows with a known key replace the target's other columns; a table of keys alone ignores them.
+    """
+    columns = ", ".join(spec.names)
+    rest = [c for c in spec.names if c not in spec.keys]
+    action = "UPDATE SET " + ", ".join(f"{c} = EXCLUDED.{c}" for c in rest) if rest else "NOTHING"
+    return [
+        "BEGIN TRANSACTION",
+        f"INSERT INTO {schema}.{spec.name} ({columns}) SELECT {columns} FROM {staging} ON CONFLICT ({', '.join(spec.keys)}) DO {action}",
+        "COMMIT",
+        f"DROP TABLE IF EXISTS {staging}",
+    ]
+
+
 def read_options(url: str, table: str, column: str | None = None, bounds: tuple[int, int] | None = None, readers: int = 16, **extra: str) -> dict[str, str]:
     """Options of a table scan, split on a numeric column when one is named."""
     options = {"url": url, "dbtable": table, **extra}

@@ -139,3 +139,21 @@ def test_jdbc_options():
     read = jdbc.read_options("jdbc:x", "t", "id", (0, 100), 4)
     assert read["partitionColumn"] == "id" and read["numPartitions"] == "4"
     assert "partitionColumn" not in jdbc.read_options("jdbc:x", "t")
+
+
+def test_merge_statements_run():
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE SCHEMA dwh")
+    staging = jdbc.staging_name("dwh", "brands", "2024-05-06")
+    for name, key in (("dwh.brands", "PRIMARY KEY"), (staging, "")):
+        con.execute(f"CREATE TABLE {name} (brand_id VARCHAR {key}, brand_name VARCHAR)")
+    con.execute("INSERT INTO dwh.brands VALUES ('1', 'a'), ('2', 'b')")
+    con.execute(f"INSERT INTO {staging} VALUES ('2', 'B'), ('3', 'c')")
+    for statement in jdbc.merge_statements(WAREHOUSE["brands"], "dwh", staging):
+        con.execute(statement)
+    assert con.execute("SELECT * FROM dwh.brands ORDER BY 1").fetchall() == [("1", "a"), ("2", "B"), ("3", "c")]
+    assert con.execute("SELECT count(*) FROM duckdb_tables() WHERE table_name LIKE '%tmp%'").fetchone() == (0,)
+    bridge = jdbc.merge_statements(WAREHOUSE["products_authors"], "dwh", "dwh.t")
+    assert bridge[1].endswith("ON CONFLICT (product_id, seller_id, author_id) DO NOTHING")
