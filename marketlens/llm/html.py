@@ -29,15 +29,16 @@ from marketlens.llm.common import bounded_sample, column, slices, texts
 SAMPLE_PAGES = 500  # labelled pages that the weights are fitted on, about at most
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<sealed>noscript|template|textarea|title|svg|iframe|select|button)\b[^>]*>.*?</(?P=sealed)\s*>"
-    r"|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|</?[a-zA-Z][^>]*(?:>|\Z)|<[!/?][^>]*\Z"
     r"|(?P<text>[^<]+|<)",
-    re.S | re.I,
+    re.S,
 )
+# Elements that are skipped as a whole: the first two to the end of the page if they are left open,
+# the others only where they are closed.
+RAW = frozenset(("script", "style"))
+SEALED = RAW | frozenset("noscript template textarea title svg iframe select button".split())
 ATTR = re.compile(r"""(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 # Elements and attribute words that mark blocks which are no part of an article.
@@ -93,19 +94,30 @@ def tokens(page: str) -> list[tuple[str, str, bool, bool]]:
             art_depth -= article
         del open_tags[k:]
 
-    for m in TOKEN.finditer(page):
+    ends: dict[str, re.Pattern | None] = {t: re.compile(rf"</{t}\s*>", re.I) for t in SEALED}
+    at = 0
+    while at < len(page):
+        m = TOKEN.match(page, at)
+        at = m.end()
+        tag = (m["tag"] or "").lower()
         if m["text"]:
             found.append(("text", html.unescape(m["text"]), out_depth > 0, art_depth > 0))
         elif m["cdata"]:
             found.append(("text", m["cdata"], out_depth > 0, art_depth > 0))
-        elif m["tag"]:
-            tag = m["tag"].lower()
+        elif tag in SEALED and not m["close"] and (ends[tag] or tag in RAW):
+            end = ends[tag].search(page, at) if ends[tag] else None
+            if end is None:
+                ends[tag] = None  # no later one is closed either
+            if end or tag in RAW:
+                at = end.end() if end else len(page)
+            found.append((tag, "", True, art_depth > 0))
+        elif tag:
             if m["close"]:
                 k = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == tag), -1)
                 # An end tag of an inline element never ends a block around it.
                 if k >= 0 and (tag not in INLINE or all(t in INLINE for t, _, _ in open_tags[k:])):
                     drop(k)
-            elif tag not in VOID:
+            elif tag not in VOID and tag not in SEALED:
                 if tag in SELF_CLOSING:
                     k = len(open_tags)
                     while k and open_tags[k - 1][0] in INLINE:
@@ -121,8 +133,6 @@ def tokens(page: str) -> list[tuple[str, str, bool, bool]]:
                 out_depth += out
                 art_depth += article
             found.append((tag, m["close"], out_depth > 0, art_depth > 0))
-        elif m["raw"] or m["sealed"]:
-            found.append(((m["raw"] or m["sealed"]).lower(), "", True, art_depth > 0))
     if any(kind == "text" and inside and not outside and value.strip() for kind, value, outside, inside in found):
         # A page that marks its article has no other main text.
         found = [(kind, value, outside or not inside, inside) for kind, value, outside, inside in found]
@@ -203,7 +213,7 @@ def main_text(page: str, weights: dict[str, float]) -> str:
         if kind == "text":
             if not outside:
                 blocks[-1].append(value)
-        elif kind == "br" or kind not in INLINE:
+        elif kind not in INLINE and (kind not in SEALED or kind == "title"):
             blocks.append([])
     cleaned = (BLANK.sub(" ", "".join(b)).strip() for b in blocks)
     return " ".join(b for b in cleaned if b)

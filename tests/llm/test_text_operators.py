@@ -142,12 +142,19 @@ WEIGHTS = {"words": 2.0, "outside words": -2.0, "p": -0.1, "div": -0.5}
         ("<div id=content-with-sidebar><p>main words here</p><div class=sidebar>side</div></div>", "main words here"),
         ("<header>Site</header><p>long enough main text of the page</p><aside>other</aside>", "long enough main text of the page"),
         ("<b>un</i>closed</p> text < 3", "unclosed text < 3"),
+        ("<title>T</title><p>a<STYLE>x</STYLE >b <select><option>o</select> c<br>d <button>e", "ab c d e"),
+        ("<p>a</p><script>left open <p>b</p>", "a"),
     ],
 )
 def test_main_text(page, text):
     assert html.main_text(page, WEIGHTS) == text
 
 
+def test_main_text_is_linear_in_what_is_left_open():
+    for piece in ("<button>", "<select>x", "<![CDATA[", "<a title=\"", "<p>", "<div>", "</div>", "<!--", "<"):
+        assert len(html.main_text(piece * 20_000, WEIGHTS)) >= 0
+
+
 def test_pages_match_their_articles(spark, sf):
     pages = table(spark, sf, "pages")
     got = {r.page_id: r for r in html.extract_text(pages).collect()}
