@@ -2,7 +2,9 @@
 
 The n-grams of the test items are counted in all documents. An item's seeds are its n-grams that few
 documents hold, and those that are not much more frequent than the item's n-grams are in general: where
-an item is copied often, its own n-grams are frequent and still tell its copies. Documents meet an item where they share
+an item is copied often, its own n-grams are frequent and still tell its copies. Every other n-gram of
+the item is a seed as well wherever an alignment through it could still be accepted, which the words
+around it bound from above, so no frequent n-gram loses its documents. Documents meet an item where they share
 seeds; around the shared seeds, passage and item are aligned word by word with the local alignment of
 Smith and Waterman, so copies with words replaced, added or left out keep a high score. The score is
 the alignment's score as a share of the full score of the item.
@@ -54,6 +56,7 @@ class Index:
         for text in items:
             words = [w for w in map(bare, text.split()) if w]
             self.items.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], np.int64))
+        self.bags = [np.unique(a, return_counts=True) for a in self.items]
         grams = [self.hashes(np.lib.stride_tricks.sliding_window_view(a, n)) if len(a) >= n else np.zeros(0, np.uint64) for a in self.items]
         owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, int)
@@ -73,7 +76,7 @@ class Index:
         return out
 
     def choose_seeds(self, held_by: np.ndarray, rare: float) -> None:
-        """``held_by``: documents per n-gram. Seeds are held by few, or by no more than twice the item's median."""
+        """``held_by``: documents per n-gram. Sure seeds are held by few, or by no more than twice the item's median."""
         self.seed = held_by <= rare
         gram = np.repeat(np.arange(len(self.grams)), np.diff(self.bounds))
         order = np.argsort(self.owner, kind="stable")
@@ -84,6 +87,12 @@ class Index:
             if len(own):
                 self.seed[own[held_by[own] <= 2 * np.median(held_by[own])]] = True
 
+    def reach(self, owner: int, words: np.ndarray) -> int:
+        """The most words that any alignment of an item with these words can match."""
+        own, times = self.bags[owner]
+        at = np.minimum(np.searchsorted(own, words), len(own) - 1)
+        return int(np.minimum(np.bincount(at[own[at] == words], minlength=len(own)), times).sum())
+
     def known(self) -> Known:
         """Numbers of words as they stand in texts: 0 for words of no item, -1 for words that are all punctuation."""
         return Known(lambda w: self.vocabulary.get(b, 0) if (b := bare(w)) else -1)
@@ -103,7 +112,7 @@ class Numbered:
         self.doc = np.repeat(np.arange(len(data)), sizes)[kept]
         self.place = kept - (np.cumsum(sizes) - sizes)[self.doc]
 
-    def found(self, index: Index, seeds_only: bool) -> tuple[np.ndarray, np.ndarray]:
+    def found(self, index: Index) -> tuple[np.ndarray, np.ndarray]:
         """Places of n-grams of items in the slice, and which n-grams they are."""
         n, none = index.n, np.zeros(0, np.int64)
         count = len(self.numbers) - n + 1
@@ -118,8 +127,6 @@ class Numbered:
         hashes = index.hashes(np.stack([self.numbers[at + k] for k in range(n)], axis=1)) if len(at) else np.zeros(0, np.uint64)
         which = np.minimum(np.searchsorted(index.grams, hashes), len(index.grams) - 1)
         same = index.grams[which] == hashes
-        if seeds_only:
-            same &= index.seed[which]
         return at[same], which[same]
 
 
@@ -149,7 +156,7 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
 def passages(index: Index, data: list[bytes], known: Known, threshold: float) -> list[tuple[int, int, float, int, int, int]]:
     """(text, item, score, first word, one past the last word, seeds) of the best passage per text and item."""
     text = Numbered(data, known)
-    at, which = text.found(index, True)
+    at, which = text.found(index)
     if not len(at):
         return []
     counts = index.bounds[which + 1] - index.bounds[which]
@@ -157,8 +164,9 @@ def passages(index: Index, data: list[bytes], known: Known, threshold: float) ->
     entry = np.arange(len(spread)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(index.bounds[which], counts)
     owner, doc = index.owner[entry], text.doc[at[spread]]
     begin = at[spread] - index.place[entry]  # where the item would begin, counted from the slice's first word
+    sure = index.seed[which[spread]]
     order = np.lexsort((begin, owner, doc))
-    owner, doc, begin = owner[order], doc[order], begin[order]
+    owner, doc, begin, sure = owner[order], doc[order], begin[order], sure[order]
     low_of, high_of = np.searchsorted(text.doc, [np.arange(len(data)), np.arange(1, len(data) + 1)])
     out = []
     cuts = np.flatnonzero((np.diff(owner) != 0) | (np.diff(doc) != 0)) + 1
@@ -167,6 +175,14 @@ def passages(index: Index, data: list[bytes], known: Known, threshold: float) ->
         m = len(item)
         slack = m // 3 + index.n
         best = None
+        # A frequent n-gram is a seed unless too few words of the item stand around it for any alignment
+        # through it; one that reaches the threshold has no more gaps than ``wide``.
+        if not sure[b].all():
+            wide = int(MATCH * (1 - threshold) * m) + 1
+            reach = {g: index.reach(owner[b[0]], text.numbers[max(low_of[i], g - wide) : min(high_of[i], g + m + wide)]) for g in set(begin[b[~sure[b]]].tolist())}
+            b = b[sure[b] | (np.array([reach.get(g, 0) for g in begin[b].tolist()]) >= threshold * m)]
+            if not len(b):
+                continue
         # Seeds whose passages overlap are aligned as one stretch.
         for group in np.split(begin[b], np.flatnonzero(np.diff(begin[b]) > 2 * slack + m) + 1):
             low, high = max(low_of[i], int(group[0]) - slack), min(high_of[i], int(group[-1]) + m + slack)
@@ -204,7 +220,7 @@ def _count(docs: DataFrame, index: Index, text: str) -> tuple[np.ndarray, int]:
         for batch in slices(batches, text, SLICE):
             rows += batch.num_rows
             words = Numbered(texts(batch, text), known)
-            at, which = words.found(index, False)
+            at, which = words.found(index)
             once = np.unique(words.doc[at] * len(index.grams) + which)
             counts += np.bincount(once % max(len(index.grams), 1), minlength=len(index.grams))
         at = np.flatnonzero(counts)

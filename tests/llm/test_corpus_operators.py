@@ -262,6 +262,19 @@ def test_items_in_blocks_give_the_same(spark, documents, monkeypatch):
     assert decontaminate.contaminated(docs.limit(0), items).collect() == []
 
 
+@pytest.mark.parametrize("kept", [lambda i: i % 6 != 5, lambda i: i < 4 or i % 4 != 0], ids=["two-grams-a-run", "one-gram-in-all"])
+def test_a_verbatim_copy_does_not_hide_frequent_edited_ones(spark, documents, kept):
+    rng = random.Random(8)
+    words = [f"i{k}" for k in range(42)]
+    copy = " ".join(w if kept(i) else f"x{i}" for i, w in enumerate(words))
+    rows = [(i, f"{sentence(rng, 30)} {copy} {sentence(rng, 20)}") for i in range(15)] + [(20, " ".join(words))]
+    rows += [(100 + i, f"{sentence(rng, 30)} {' '.join(words[:4])} {sentence(rng, 60)}") for i in range(40)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    found = decontaminate.contaminated(documents(rows), items)
+    assert sorted(r.doc_id for r in found.collect()) == [*range(15), 20]
+    assert decontaminate.drop_contaminated(documents(rows), items).count() == 40
+
+
 def test_planted_items_are_found_and_clean_documents_left(spark, sf):
     from marketlens.llm.queries import op4_decontamination
 
