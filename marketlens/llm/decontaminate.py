@@ -7,13 +7,17 @@ the item is a seed as well wherever an alignment through it could still be accep
 around it bound from above, so no frequent n-gram loses its documents. Documents meet an item where they share
 seeds; around the shared seeds, passage and item are aligned word by word with the local alignment of
 Smith and Waterman, so copies with words replaced, added or left out keep a high score. The score is
-the alignment's score as a share of the full score of the item.
+the alignment's score as a share of the full score of the item. A passage is accepted by that share, or
+by its length alone: 13 equal words, and four more for every word replaced, added or left out among them,
+are evidence however long the item is.
 
 Words are compared in lower case and without punctuation at their ends. Items meet documents in
 blocks of bounded size: each block is an index that every task holds, and is a stated query set
 against all rows. No document travels; nothing grows with their number but counts.
 
-Null and empty texts match nothing, and neither do items of fewer words than an n-gram. A document
+Items of fewer than two n-grams' words are looked for by n-grams of half the length, so that a replaced
+word in the middle does not hide them; they need at least all but one of their words, or four, with one
+error. Null and empty texts match nothing, and neither do items of fewer words than an n-gram. A document
 row that matches an item gives one row, with its best passage (of equal ones the first); repeated
 document rows repeat it, repeated items count once per item id and text. Other columns are not read.
 """
@@ -37,6 +41,8 @@ MOST_KNOWN = 200_000  # words whose numbers a task remembers
 BLOCK_WORDS = 1_000_000  # words of test items that one pass over the documents looks for
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
+LONG = 13  # equal words in a row that are evidence by themselves, whatever share of the item they are
+ERROR = -4  # what an error in such a row costs, in equal words
 EDGE = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 _SHIFT = 24
 _MASK = (1 << _SHIFT) - 1
@@ -50,14 +56,16 @@ class Index:
     """The words of a block of items as numbers, and where each n-gram stands in which items."""
 
     def __init__(self, ids: list, items: list[bytes], n: int = N):
-        self.n, self.ids = n, ids
+        self.n, self.short, self.ids = n, max(1, n // 2), ids
         self.vocabulary: dict[bytes, int] = {}
         self.items = []
         for text in items:
             words = [w for w in map(bare, text.split()) if w]
             self.items.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], np.int64))
         self.bags = [np.unique(a, return_counts=True) for a in self.items]
-        grams = [self.hashes(np.lib.stride_tricks.sliding_window_view(a, n)) if len(a) >= n else np.zeros(0, np.uint64) for a in self.items]
+        sizes = [n if len(a) >= 2 * n else self.short for a in self.items]
+        self.sizes = sorted({k for k, a in zip(sizes, self.items, strict=True) if len(a) >= n})
+        grams = [self.hashes(np.lib.stride_tricks.sliding_window_view(a, k)) if len(a) >= n else np.zeros(0, np.uint64) for k, a in zip(sizes, self.items, strict=True)]
         owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, int)
         every = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
@@ -114,10 +122,15 @@ class Numbered:
 
     def found(self, index: Index) -> tuple[np.ndarray, np.ndarray]:
         """Places of n-grams of items in the slice, and which n-grams they are."""
-        n, none = index.n, np.zeros(0, np.int64)
+        parts = [self._found(index, n) for n in index.sizes]
+        if not parts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate([at for at, _ in parts]), np.concatenate([which for _, which in parts])
+
+    def _found(self, index: Index, n: int) -> tuple[np.ndarray, np.ndarray]:
         count = len(self.numbers) - n + 1
-        if count < 1 or not len(index.grams):
-            return none, none
+        if count < 1:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         # An n-gram with a word of no item cannot stand in one, and none reaches into the next text.
         inside = self.numbers > 0
         whole = self.doc[:count] == self.doc[n - 1 :]
@@ -130,19 +143,19 @@ class Numbered:
         return at[same], which[same]
 
 
-def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
+def align(item: np.ndarray, passage: np.ndarray, match: int = MATCH, mismatch: int = MISMATCH, gap: int = GAP) -> tuple[int, int, int]:
     """Best local alignment: score, first and one-past-last place in ``passage``.
 
     A cell holds its score and, in the low bits, where its alignment begins; a row is finished by a
     running maximum, as a gap in the passage costs the same for every word.
     """
     starts = np.arange(len(passage) + 1, dtype=np.int64)
-    slope = starts * (-GAP << _SHIFT)
+    slope = starts * (-gap << _SHIFT)
     above = starts.copy()
     best, end = 0, 0
     for word in item:
-        step = np.where(passage == word, MATCH, MISMATCH).astype(np.int64) << _SHIFT
-        row = np.maximum(starts, above + (GAP << _SHIFT))
+        step = np.where(passage == word, match, mismatch).astype(np.int64) << _SHIFT
+        row = np.maximum(starts, above + (gap << _SHIFT))
         row[1:] = np.maximum(row[1:], above[:-1] + step)
         row = np.maximum.accumulate(row + slope) - slope
         row = np.where(row < starts, starts, row)
@@ -153,8 +166,13 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best >> _SHIFT, best & _MASK, end
 
 
+def _long(item: np.ndarray, passage: np.ndarray, score: int) -> bool:
+    """Whether the passage holds a long row of nearly equal words, whose score is ``MATCH * LONG`` at least."""
+    return score >= MATCH * LONG and align(item, passage, 1, ERROR, ERROR)[0] >= LONG
+
+
 def passages(index: Index, data: list[bytes], known: Known, threshold: float) -> list[tuple[int, int, float, int, int, int]]:
-    """(text, item, score, first word, one past the last word, seeds) of the best passage per text and item."""
+    """(text, item, score, first word, one past the last word, seeds) of the best accepted passage per text and item."""
     text = Numbered(data, known)
     at, which = text.found(index)
     if not len(at):
@@ -164,7 +182,8 @@ def passages(index: Index, data: list[bytes], known: Known, threshold: float) ->
     entry = np.arange(len(spread)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(index.bounds[which], counts)
     owner, doc = index.owner[entry], text.doc[at[spread]]
     begin = at[spread] - index.place[entry]  # where the item would begin, counted from the slice's first word
-    sure = index.seed[which[spread]]
+    # Short n-grams are too frequent to be sure seeds.
+    sure = index.seed[which[spread]] & (np.array([len(a) for a in index.items])[owner] >= 2 * index.n)
     order = np.lexsort((begin, owner, doc))
     owner, doc, begin, sure = owner[order], doc[order], begin[order], sure[order]
     low_of, high_of = np.searchsorted(text.doc, [np.arange(len(data)), np.arange(1, len(data) + 1)])
@@ -175,12 +194,16 @@ def passages(index: Index, data: list[bytes], known: Known, threshold: float) ->
         m = len(item)
         slack = m // 3 + index.n
         best = None
+        least = max(threshold * MATCH * m, MATCH * min(index.n, m - 1) - 1)
         # A frequent n-gram is a seed unless too few words of the item stand around it for any alignment
         # through it; one that reaches the threshold has no more gaps than ``wide``.
         if not sure[b].all():
             wide = int(MATCH * (1 - threshold) * m) + 1
             reach = {g: index.reach(owner[b[0]], text.numbers[max(low_of[i], g - wide) : min(high_of[i], g + m + wide)]) for g in set(begin[b[~sure[b]]].tolist())}
-            b = b[sure[b] | (np.array([reach.get(g, 0) for g in begin[b].tolist()]) >= threshold * m)]
+            # A long row of equal words holds this many n-grams near one diagonal.
+            drift = m // -ERROR
+            near = np.searchsorted(begin[b], begin[b] + drift, "right") - np.searchsorted(begin[b], begin[b] - drift)
+            b = b[sure[b] | (MATCH * np.array([reach.get(g, 0) for g in begin[b].tolist()]) >= least) | (near > LONG - index.n)]
             if not len(b):
                 continue
         # Seeds whose passages overlap are aligned as one stretch.
@@ -189,11 +212,10 @@ def passages(index: Index, data: list[bytes], known: Known, threshold: float) ->
             if high - low > _MASK:
                 raise ValueError("stretch too long to align")
             score, first, last = align(item, text.numbers[low:high])
-            if best is None or score > best[0]:
+            if (best is None or score > best[0]) and (score >= least or _long(item, text.numbers[low:high], score)):
                 best = score, low + first, low + last, len(group)
-        score = best[0] / (MATCH * m)
-        if score >= threshold:
-            out.append((i, int(owner[b[0]]), score, int(text.place[best[1]]), int(text.place[best[2] - 1]) + 1, best[3]))
+        if best:
+            out.append((i, int(owner[b[0]]), best[0] / (MATCH * m), int(text.place[best[1]]), int(text.place[best[2] - 1]) + 1, best[3]))
     return out
 
 

@@ -275,6 +275,25 @@ def test_a_verbatim_copy_does_not_hide_frequent_edited_ones(spark, documents, ke
     assert decontaminate.drop_contaminated(documents(rows), items).count() == 40
 
 
+def test_parts_of_long_items_and_edited_short_ones(spark, documents):
+    rng = random.Random(9)
+    words = [f"i{k}" for k in range(1000)]
+    short = {2: "red cats never eat blue fish today", 3: "four plain words here", 4: "every dog has a day"}
+    items = spark.createDataFrame([(1, " ".join(words)), *short.items()], "item_id long, text string")
+    rows = [
+        (1, f"{sentence(rng, 50)} {' '.join(words[200:500])} {sentence(rng, 50)}"), (2, " ".join(words[40:53])), (3, " ".join(words[40:52])),
+        (4, f"{sentence(rng, 9)} red cats never drink blue fish today"), (5, "four plain old words here"), (6, "four plain x y z"),
+        (7, "every dog had a day"), (8, "every dog has x y"), (9, edited(rng, " ".join(words[100:400]), 0.05)),
+        (10, " ".join(w if i % 3 else "x" for i, w in enumerate(words[:120]))), (11, "red cats never"),
+        # A dense part stays evidence where a sparse one follows.
+        (12, " ".join(w if i < 300 or i % 3 else "x" for i, w in enumerate(words[:600]))),
+    ]
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(documents(rows), items).collect()}
+    assert set(got) == {(1, 1), (2, 1), (4, 2), (5, 3), (7, 4), (9, 1), (12, 1)}
+    assert got[1, 1].score == 0.3 and (got[1, 1].first_word, got[1, 1].end_word) == (50, 350)
+    assert round(got[4, 2].score, 2) == 0.79
+
+
 def test_planted_items_are_found_and_clean_documents_left(spark, sf):
     from marketlens.llm.queries import op4_decontamination
 
