@@ -44,7 +44,7 @@ THRESHOLD = 0.5
 
 TOKEN = re.compile(
     r"""(?P<str>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\\n]|\\.)*`)"""
-    r"""|(?P<tag><(?P<tagname>[A-Za-z][\w.-]*)>(?P<tagvalue>[^<\n]{1,500})</(?P=tagname)>)"""
+    r"""|(?P<tag><(?P<tagname>[A-Za-z][\w.-]*)>(?P<tagvalue>[^<\n]+)</(?P=tagname)>)"""
     r"""|(?P<name>[A-Za-z_$][\w$]*(?:[.-][A-Za-z_$][\w$]*)*)"""
     r"""|(?P<op>:=|=>|==|!=|<=|>=|[=:+\[\]])|(?P<line>\n)|(?P<other>[^\s\w"'`=:+\[\]])"""
 )
@@ -146,13 +146,26 @@ def lexed_spans(text: str, base: list[Span]) -> list[Span]:
     return [Span(a, "literal", b, a) for a, b in sorted(found) if not any(a < e and s < b for s, e in taken)]
 
 
+# Names are scored by their letters alone, so stems are looked for in the letters of each line. The two
+# signs become ASCII letters in lower case.
+_BETWEEN = bytes(b for b in range(256) if not chr(b).isascii() or not (chr(b).isalpha() or chr(b) == "\n"))
+_FOLDED = ("\u212a".encode(), "\u0130".encode())
 _RUN = bytes(ord("1") if chr(b) in "0123456789abcdef" else 0 for b in range(256))
 
 
+def _named(data: bytes) -> bool:
+    """Whether a text can hold a telling name and an assignment or element."""
+    if not (b"=" in data or b":" in data or b"</" in data):
+        return False
+    if any(sign in data for sign in _FOLDED):
+        data = data.decode("utf-8", "replace").lower().encode()
+    low = data.lower().translate(None, _BETWEEN)
+    return any(stem in low for stem in STEMS)
+
+
 def scan(data: bytes) -> list[Span]:
     """All spans of a text. Texts without a telling name, key prefix or hex run are not lexed."""
-    low = data.lower()
-    named = any(stem in low for stem in STEMS)
+    named = _named(data)
     if not (named or b"AKIA" in data or b"1" * LEAST["hex"] in data.translate(_RUN)):
         return []
     text = data.decode("utf-8", "replace")

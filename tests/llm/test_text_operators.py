@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import time
 import zlib
 from html import unescape
 
@@ -62,6 +63,21 @@ def test_lexed_literals(text, secret):
     assert found == [secret]
 
 
+@pytest.mark.parametrize("name", ["pass_phrase", "pass-word", "PASS_WORD", "to.ken", "'pass 1 word'", "to\u212aen"])
+def test_names_in_parts_are_lexed(name):
+    text = f'{name} = "Xk29vbQ7zLw4"'
+    assert [text[s.start : s.end] for s in secrets.scan(text.encode())] == ["Xk29vbQ7zLw4"]
+
+
+def test_long_elements_are_spans():
+    value = "Xk29vbQ7" * 200
+    text = f"<private_key>{value}</private_key>"
+    assert [text[s.start : s.end] for s in secrets.scan(text.encode())] == [value]
+    started = time.time()
+    assert not secrets.scan(("<token>" + "a " * 20).encode() * 20_000)
+    assert time.time() - started < 10
+
+
 @pytest.mark.parametrize("text", ['password_file = "/etc/Zx9kQ2wLm7"', 'pwd = "changeme-example"', 'pwd = "a plain sentence here"', 'title = "Zx9!kQ2w#Lm7"', "pwd = x"])
 def test_harmless_literals(text):
     assert not [s for s in secrets.scan(text.encode()) if s.kind == "literal"]
