@@ -6,6 +6,8 @@ One linear scan finds the contiguous run with the highest sum. The weights come
 pages: pages whose main text is marked by an ``article`` element give, for words and for every tag,
 how much more often the token stands inside the article than outside (log odds, held to the sign the
 method asks for). They are fitted on a bounded sample of such pages; all pages are then read whole.
+The article tag itself weighs as much as a block tag and no more: pages whose articles are teasers or
+cards, and pages without any, have their main text found by the run alone.
 
 Null and empty html give an empty text. Each row is read by itself, so repeated rows repeat their
 result, ties between runs of equal score go to the first and longest one, an empty table gives an
@@ -133,9 +135,6 @@ def tokens(page: str) -> list[tuple[str, str, bool, bool]]:
                 out_depth += out
                 art_depth += article
             found.append((tag, m["close"], out_depth > 0, art_depth > 0))
-    if any(kind == "text" and inside and not outside and value.strip() for kind, value, outside, inside in found):
-        # A page that marks its article has no other main text.
-        found = [(kind, value, outside or not inside, inside) for kind, value, outside, inside in found]
     return found
 
 

@@ -181,6 +181,20 @@ def test_pages_match_their_articles(spark, sf):
         assert got[r.page_id].text == want and got[r.page_id].n_chars == len(want)
 
 
+def test_main_text_without_and_with_other_articles(spark, sf):
+    pages = table(spark, sf, "pages")
+    weights = html.fit_weights(pages)
+    teasers = "".join(f"<article><h2><a href='/{i}'>Story {i} of the day</a></h2><p>A short line that leads on.</p></article>" for i in range(5))
+    for r in pages.collect():
+        want = html.main_text(r.html, weights)
+        plain = re.sub("<(/?)article[^>]*>", r"<\1div>", r.html)
+        assert html.main_text(plain, weights) == want
+        assert html.main_text(re.sub("</?article[^>]*>", "", r.html), weights) == want
+        if len(want.split()) > 60:
+            at = r.html.find("<article")
+            assert html.main_text(plain[:at] + teasers + plain[at:], weights) == want
+
+
 def test_pages_with_nulls_and_repeats(spark):
     rows = [(None, None, None), (1, "u", ""), (2, "u", LONG), (2, "u", LONG), (3, None, "<p>x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1)).withColumn("kind", F.lit(2))
