@@ -321,6 +321,20 @@ def test_archives_push_predicates_down_and_skip_payloads(spark, tmp_path):
     assert warc.read_warc(spark, path + "0").collect() == []
 
 
+def test_the_round_trip_skips_what_it_does_not_need(spark, monkeypatch):
+    asked, read = [], warc.read_warc
+
+    def noted(spark, path, payload=True, where=None):
+        asked.append((payload, where))
+        return read(spark, path, payload, where)
+
+    monkeypatch.setattr(warc, "read_warc", noted)
+    pages = spark.createDataFrame([(1, "u", "<p>x"), (2, "u", "<p>x"), (3, "v", None)], "page_id long, url string, html string")
+    got = sorted((r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in warc.round_trip(pages).collect())
+    assert got == [(1, "revisit", 2, 4), (2, "response", None, 4), (3, "response", None, 0)]
+    assert asked == [(True, {"record_type": ["response"]}), (False, {"record_type": ["revisit"]})]
+
+
 def test_skipping_does_not_lose_the_place():
     import io
 
