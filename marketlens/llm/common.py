@@ -47,6 +47,24 @@ def slices(batches: Iterator[pa.RecordBatch], name: str = "text", most: int = 8
             yield batch.slice(at, step)
 
 
+def pieces(text: bytes, byte_table: bytes, most: int = 4 << 20) -> Iterator[bytes]:
+    """A text through a table that blanks what separates words, in pieces of about ``most`` bytes that are
+    cut at blanks, so that no list of words depends on the length of the text."""
+    at = 0
+    while len(text) - at > most:
+        piece = text[at : at + most].translate(byte_table)
+        cut = piece.rfind(b" ", 1)
+        # A word longer than a piece is taken whole.
+        while cut < 0 and at + len(piece) < len(text):
+            seen = len(piece)
+            piece += text[at + seen : at + seen + most].translate(byte_table)
+            cut = piece.find(b" ", seen)
+        cut = len(piece) if cut < 0 else cut
+        yield piece[:cut]
+        at += cut
+    yield text[at:].translate(byte_table)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit numbers (splitmix64's finish)."""
     x = (x ^ (x >> np.uint64(30))) * _MIX

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from marketlens.llm import divergence, embeddings, resampling
 from marketlens.llm.common import LOWER, UPPER
 from marketlens.llm.jaccard import SHARE, N
 from marketlens.llm.substrings import WINDOW
@@ -124,3 +125,114 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM src LEFT JOIN listed USING (r)
 """
+
+EMBEDDINGS = f"""
+WITH RECURSIVE src AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+),
+sound AS MATERIALIZED (
+  SELECT * FROM src WHERE label IS NOT NULL AND v IS NOT NULL
+    AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+),
+links AS MATERIALIZED (
+  SELECT a.r AS x, b.r AS y FROM sound a JOIN sound b ON a.label = b.label AND len(a.v) = len(b.v) AND a.r <> b.r
+  WHERE list_cosine_similarity(a.v, b.v) >= {embeddings.LEAST}
+),
+reach AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+named AS (
+  SELECT src.r, least(src.vec_id, min(other.vec_id)) AS component_id
+  FROM src LEFT JOIN reach ON reach.x = src.r LEFT JOIN src other ON other.r = reach.y GROUP BY src.r, src.vec_id
+),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM src JOIN named USING (r) LEFT JOIN counts ON counts.x = src.r
+"""
+
+_SHARE = f"1 + CAST((CAST({divergence.UNIT} AS HUGEINT) * ({{n}} + 2)) // ({{total}} + 2 * v) AS BIGINT)"
+
+DIVERGENCE = f"""
+WITH src AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x00-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+),
+held AS MATERIALIZED (SELECT r, lang, source, term, count(*) AS n FROM (SELECT r, lang, source, unnest(w) AS term FROM src) WHERE term <> '' GROUP BY ALL),
+kept AS MATERIALIZED (SELECT lang, term, sum(n) AS total FROM held GROUP BY lang, term HAVING count(*) >= {divergence.MIN_DOCS}),
+langs AS (
+  SELECT lang, coalesce(v, 0) AS v, coalesce(lang_total, 0) AS lang_total
+  FROM (SELECT DISTINCT lang FROM src) LEFT JOIN (SELECT lang, count(*) AS v, sum(total) AS lang_total FROM kept GROUP BY lang) USING (lang)
+),
+counted AS MATERIALIZED (SELECT lang, source, term, sum(n) AS n FROM held JOIN kept USING (lang, term) GROUP BY ALL),
+sums AS (SELECT lang, source, sum(n) AS group_total FROM counted GROUP BY ALL),
+groups AS MATERIALIZED (
+  SELECT lang, source, coalesce(group_total, 0) AS group_total, v, lang_total
+  FROM (SELECT DISTINCT lang, source FROM src) LEFT JOIN sums USING (lang, source) JOIN langs USING (lang)
+),
+grid AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(n, 0) AS n, {_SHARE.format(n="coalesce(n, 0)", total="group_total")} AS p,
+    {_SHARE.format(n="total", total="lang_total")} AS q
+  FROM groups JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, term)
+),
+met AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN met ON met.lang = a.lang AND met.source = a.source AND met.item = b.source
+),
+terms AS (SELECT lang, source, term AS item, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) AS value FROM grid WHERE n > 0 AND p > q),
+every AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM every)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP}
+"""
+
+# crc32 by its reversed polynomial: the table by its rule, then a byte at a time.
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+RESAMPLING = f"""
+WITH RECURSIVE steps AS (
+  SELECT CAST(i AS BIGINT) AS i, CAST(i AS BIGINT) AS c, 0 AS k FROM range(256) AS t(i)
+  UNION ALL SELECT i, {_CRC_STEP}, k + 1 FROM steps WHERE k < 8
+),
+crc AS MATERIALIZED (SELECT list(c ORDER BY i) AS codes FROM steps WHERE k = 8),
+src AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+),
+aim AS MATERIALIZED (
+  SELECT unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word FROM benchmark
+),
+words AS MATERIALIZED (SELECT r, word, count(*) AS n FROM (SELECT r, unnest(w) AS word FROM src) GROUP BY ALL),
+spelt AS MATERIALIZED (
+  SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM words UNION SELECT word FROM aim WHERE word <> '')
+),
+hashed AS MATERIALIZED (
+  SELECT word, xor(list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, strlen(h) + 1, 2), lambda i: CAST(CAST('0x' || substr(h, i, 2) AS INTEGER) AS BIGINT))),
+    lambda c, b: xor(c >> 8, codes[(xor(c, b) & 255) + 1])), 4294967295) % {resampling.BUCKETS} AS bucket
+  FROM spelt, crc
+),
+counts AS (SELECT bucket, sum(n) AS s FROM words JOIN hashed USING (word) GROUP BY bucket),
+aims AS (SELECT bucket, count(*) AS t FROM aim JOIN hashed USING (word) GROUP BY bucket),
+sums AS (SELECT (SELECT coalesce(sum(s), 0) FROM counts) AS big_s, (SELECT coalesce(sum(t), 0) FROM aims) AS big_t),
+gains AS MATERIALIZED (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + CAST(1 AS DOUBLE)) * (big_s + CAST({resampling.BUCKETS} AS DOUBLE))
+    / ((s + CAST(1 AS DOUBLE)) * (big_t + CAST({resampling.BUCKETS} AS DOUBLE))))) AS BIGINT) AS gain
+  FROM counts LEFT JOIN aims USING (bucket), sums
+),
+weights AS (SELECT r, CAST(sum(n * gain) AS BIGINT) AS weight FROM words JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY r),
+scored AS MATERIALIZED (
+  SELECT r, doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+    (CAST('0x' || substr(sha256('{resampling.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+  FROM src LEFT JOIN weights USING (r)
+),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) OVER () AS total
+  FROM scored WHERE n_features >= {resampling.MIN_WORDS}
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= {resampling.SHARE} * total // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (r)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlens.llm import decontaminate, html, jaccard, langid, mixing, mixing_sql, oracles, quality, rules, rules_sql, secrets, substrings, warc
+from marketlens.llm import decontaminate, divergence, embeddings, html, jaccard, langid, mixing, mixing_sql, oracles, quality, resampling, rules, rules_sql, secrets, substrings, warc
 from marketlens.llm.common import crc_part, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,22 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf, "documents")).withColumn("p_good", F.round("p_good", 6))
 
 
+@query
+def op11_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf, "embeddings"))
+
+
+@query
+def op12_source_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents")).drop("p", "q")
+
+
+@query
+def op13_target_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 ORACLES: dict[str, str] = {
     "op1_source_mix": mixing_sql.sql(),
     "op3_warc_round_trip": oracles.WARC,
@@ -84,4 +100,7 @@ ORACLES: dict[str, str] = {
     "op8_substring_dedup": oracles.SUBSTRINGS,
     "op9_main_text": oracles.MAIN_TEXT,
     "op10_quality_rules": rules_sql.sql(),
+    "op11_embedding_dedup": oracles.EMBEDDINGS,
+    "op12_source_audit": oracles.DIVERGENCE,
+    "op13_target_resampling": oracles.RESAMPLING,
 }
