@@ -24,7 +24,7 @@ are named in ``OWN``, and input columns of these names are replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import BLANKS
@@ -77,18 +77,24 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     """``cells`` (margins, tokens) with ``raked``, whose sums over each margin follow the targets.
 
     A margin value without a target keeps no weight; a target without cells is left out of its margin.
+    The targets are joined once; a margin's sums are then windows over the cells, and every round is the
+    same plan over the table that the round before has written.
     """
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    raked = before = cells.withColumn("raked", F.col("tokens").cast("double"))
+    total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    raked = cells.withColumn("raked", F.col("tokens").cast("double"))
+    for margin, target in targets.items():
+        aim = target.select(F.col("value").alias(f"value_{margin}"), F.col("share").alias(f"share_{margin}"))
+        raked = raked.join(aim, raked[margin] == aim[f"value_{margin}"], "left").drop(f"value_{margin}")
+    raked = before = staged(raked, "raked")
     for _ in range(rounds):
-        for margin, target in targets.items():
-            now = raked.groupBy(margin).agg(F.sum("raked").alias("now")).withColumnRenamed(margin, "m")
-            scale = now.join(target, now.m == target.value).filter("now > 0").select("m", (F.col("share") * total / F.col("now")).alias("f"))
-            raked = raked.join(scale, raked[margin] == scale.m, "left").withColumn("raked", F.col("raked") * F.coalesce("f", F.lit(0.0))).drop("m", "f")
+        for margin in targets:
+            now = F.sum("raked").over(Window.partitionBy(margin))
+            fitted = F.when(now > 0, F.col("raked") * (F.col(f"share_{margin}") * total / now))
+            raked = raked.withColumn("raked", F.coalesce(fitted, F.lit(0.0)))
         raked = staged(raked, "raked")
         discard(before)
         before = raked
-    return raked
+    return raked.drop(*(f"share_{m}" for m in targets))
 
 
 def probabilities(raked: DataFrame, budget: float) -> DataFrame:
