@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -121,8 +121,8 @@ def keys(shingles: np.ndarray, levels: np.ndarray, light: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _passed(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
-    """Rows of three kinds: ``doc`` (kept columns, size and class), ``key`` (key and class), ``set`` (class and shingles)."""
+def _passed(docs: DataFrame, keep: list[str], text: str) -> tuple[DataFrame, Broadcast]:
+    """What every task holds, and rows of three kinds: ``doc`` (kept columns, size and class), ``key`` (key and class), ``set`` (class and shingles)."""
     estimates = _sketch(docs, text)
     shared = docs.sparkSession.sparkContext.broadcast((estimates, boundary(estimates.mean_shared())))
     packed = docs.select(F.struct(*(docs[c] for c in keep)).alias("row"), docs[text].alias("text"))
@@ -155,7 +155,7 @@ def _passed(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
             yield rows("set", len(met), cls=[found.names[i] for i, _ in met], size=[len(found.sets[i]) for i, _ in met], shingles=[found.sets[i].tobytes() for i, _ in met])
 
     row_type = packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(run, f"kind string, row {row_type}, number long, size long, cls long, key long, shingles binary")
+    return packed.mapInArrow(run, f"kind string, row {row_type}, number long, size long, cls long, key long, shingles binary"), shared
 
 
 FIELDS = {"number": pa.int64(), "size": pa.int64(), "cls": pa.int64(), "key": pa.int64(), "shingles": pa.binary()}
@@ -256,7 +256,9 @@ def _linked(found: DataFrame) -> DataFrame:
 
 def _labelled(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
     """``row``, ``number``, ``size`` and ``comp`` (null without words) of every row."""
-    found = staged(_passed(docs, keep, text), "shingled", by="kind")
+    passed, shared = _passed(docs, keep, text)
+    found = staged(passed, "shingled", by="kind")
+    shared.destroy()
     linked = _linked(found)
     rows = found.filter("kind = 'doc'").select("row", "number", "size", "cls")
     return rows.join(linked, rows.cls == linked.node, "left").select("row", "number", "size", F.coalesce("root", "cls").alias("comp"))
