@@ -5,7 +5,7 @@ documents hold, and those that are not much more frequent than the item's n-gram
 an item is copied often, its own n-grams are frequent and still tell its copies. Every other n-gram of
 the item is a seed as well wherever an alignment through it could still be accepted, which the words
 around it bound from above, so no frequent n-gram loses its documents. Documents meet an item where they share
-seeds; around the shared seeds, passage and item are aligned word by word with the local alignment of
+seeds, unless the words and n-grams they share are too few for any accepted passage; around the shared seeds, passage and item are aligned word by word with the local alignment of
 Smith and Waterman, so copies with words replaced, added or left out keep a high score. The score is
 the alignment's score as a share of the full score of the item. A passage is accepted by that share, or
 by its length alone: 13 equal words, and four more for every word replaced, added or left out among them,
@@ -43,6 +43,9 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.5
 LONG = 13  # equal words in a row that are evidence by themselves, whatever share of the item they are
 ERROR = -4  # what an error in such a row costs, in equal words
+ENTRIES = 2_000_000  # n-grams of items, one for each text that holds them, that a task looks at at a time
+PAIRS = 20_000  # pairs of text and item, likewise
+STRETCH = 1 << 20  # words of a text between the first and the last seed of an alignment
 EDGE = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 _SHIFT = 24
 _MASK = (1 << _SHIFT) - 1
@@ -63,6 +66,9 @@ class Index:
             words = [w for w in map(bare, text.split()) if w]
             self.items.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], np.int64))
         self.bags = [np.unique(a, return_counts=True) for a in self.items]
+        self.lengths = np.array([len(a) for a in self.items], np.int64)
+        self.bag_words, self.bag_times = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*self.bags, strict=True) if self.bags else ((), ())))
+        self.bag_bounds = np.concatenate([[0], np.cumsum([len(words) for words, _ in self.bags])]).astype(np.int64)
         sizes = [n if len(a) >= 2 * n else self.short for a in self.items]
         self.sizes = sorted({k for k, a in zip(sizes, self.items, strict=True) if len(a) >= n})
         grams = [self.hashes(np.lib.stride_tricks.sliding_window_view(a, k)) if len(a) >= n else np.zeros(0, np.uint64) for k, a in zip(sizes, self.items, strict=True)]
@@ -171,19 +177,74 @@ def _long(item: np.ndarray, passage: np.ndarray, score: int) -> bool:
     return score >= MATCH * LONG and align(item, passage, 1, ERROR, ERROR)[0] >= LONG
 
 
+def _least(m: int | np.ndarray, n: int, threshold: float) -> float | np.ndarray:
+    """The least score by which a passage of an item of ``m`` words is accepted as a share of it."""
+    return np.maximum(threshold * MATCH * m, MATCH * np.minimum(n, m - 1) - 1)
+
+
+def _expanded(starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places ``starts[i]`` … of ``counts[i]`` each, and the i of each."""
+    which = np.repeat(np.arange(len(counts)), counts)
+    return np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(starts, counts), which
+
+
+def candidates(index: Index, text: Numbered, at: np.ndarray, which: np.ndarray, threshold: float) -> np.ndarray:
+    """Numbers (text * items + item) of the pairs that share an n-gram and may hold an accepted passage.
+
+    A pair is left out if the words that text and item have in common are too few for the share, and their
+    common n-grams too few for a long row: what shares no more than a stock phrase is never aligned.
+    """
+    items = len(index.items)
+    seen = np.unique(text.doc[at] * len(index.grams) + which)
+    doc, gram = np.divmod(seen, len(index.grams))
+    counts = index.bounds[gram + 1] - index.bounds[gram]
+    words, times = np.unique(text.doc * (len(index.vocabulary) + 1) + text.numbers, return_counts=True)
+    firsts = np.flatnonzero(np.diff(doc, prepend=-1))  # of the texts: one has at most as many entries as the index
+    done, total = [np.zeros(0, np.int64)], np.concatenate([[0], np.cumsum(counts)])
+    k = 0
+    while k < len(firsts):
+        nxt = max(k + 1, int(np.searchsorted(total[firsts], total[firsts[k]] + ENTRIES, "right")) - 1)
+        low, high = firsts[k], firsts[nxt] if nxt < len(firsts) else len(doc)
+        entry, of = _expanded(index.bounds[gram[low:high]], counts[low:high])
+        pair, places = np.unique(doc[low:high][of] * items + index.owner[entry], return_counts=True)
+        for block in range(0, len(pair), PAIRS):
+            some, held = pair[block : block + PAIRS], places[block : block + PAIRS]
+            row, item = np.divmod(some, items)
+            place, of = _expanded(index.bag_bounds[item], np.diff(index.bag_bounds)[item])
+            wanted = row[of] * (len(index.vocabulary) + 1) + index.bag_words[place]
+            hit = np.minimum(np.searchsorted(words, wanted), len(words) - 1)
+            common = np.where(words[hit] == wanted, np.minimum(times[hit], index.bag_times[place]), 0)
+            common = np.bincount(of, common, len(some))
+            done.append(some[(MATCH * common >= _least(index.lengths[item], index.n, threshold)) | (held > LONG - index.n)])
+        k = nxt
+    return np.concatenate(done)
+
+
 def passages(index: Index, data: list[bytes], known: Known, threshold: float) -> list[tuple[int, int, float, int, int, int]]:
     """(text, item, score, first word, one past the last word, seeds) of the best accepted passage per text and item."""
     text = Numbered(data, known)
     at, which = text.found(index)
-    if not len(at):
+    pairs = candidates(index, text, at, which, threshold) if len(at) else at
+    if not len(pairs):
         return []
+    # Occurrences of the n-grams in the texts that are left, entry by entry, for the pairs that are left.
+    some = np.isin(text.doc[at], np.unique(pairs // len(index.items)))
+    at, which = at[some], which[some]
     counts = index.bounds[which + 1] - index.bounds[which]
-    spread = np.repeat(np.arange(len(at)), counts)
-    entry = np.arange(len(spread)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(index.bounds[which], counts)
-    owner, doc = index.owner[entry], text.doc[at[spread]]
-    begin = at[spread] - index.place[entry]  # where the item would begin, counted from the slice's first word
+    parts, k, total = [], 0, np.concatenate([[0], np.cumsum(counts)])
+    while k < len(at):
+        nxt = max(k + 1, int(np.searchsorted(total, total[k] + ENTRIES, "right")) - 1)
+        entry, of = _expanded(index.bounds[which[k:nxt]], counts[k:nxt])
+        pair = text.doc[at[k:nxt]][of] * len(index.items) + index.owner[entry]
+        hit = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
+        mine = pairs[hit] == pair
+        begin = at[k:nxt][of] - index.place[entry]  # where the item would begin, counted from the slice's first word
+        parts.append(np.stack([pair[mine], begin[mine], index.seed[which[k:nxt]][of][mine]]))
+        k = nxt
+    pair, begin, sure = np.concatenate(parts, axis=1)
+    doc, owner = np.divmod(pair, len(index.items))
     # Short n-grams are too frequent to be sure seeds.
-    sure = index.seed[which[spread]] & (np.array([len(a) for a in index.items])[owner] >= 2 * index.n)
+    sure = (sure > 0) & (index.lengths[owner] >= 2 * index.n)
     order = np.lexsort((begin, owner, doc))
     owner, doc, begin, sure = owner[order], doc[order], begin[order], sure[order]
     low_of, high_of = np.searchsorted(text.doc, [np.arange(len(data)), np.arange(1, len(data) + 1)])
@@ -194,7 +255,7 @@ def passages(index: Index, data: list[bytes], known: Known, threshold: float) ->
         m = len(item)
         slack = m // 3 + index.n
         best = None
-        least = max(threshold * MATCH * m, MATCH * min(index.n, m - 1) - 1)
+        least = float(_least(m, index.n, threshold))
         # A frequent n-gram is a seed unless too few words of the item stand around it for any alignment
         # through it; one that reaches the threshold has no more gaps than ``wide``.
         if not sure[b].all():
@@ -206,11 +267,10 @@ def passages(index: Index, data: list[bytes], known: Known, threshold: float) ->
             b = b[sure[b] | (MATCH * np.array([reach.get(g, 0) for g in begin[b].tolist()]) >= least) | (near > LONG - index.n)]
             if not len(b):
                 continue
-        # Seeds whose passages overlap are aligned as one stretch.
-        for group in np.split(begin[b], np.flatnonzero(np.diff(begin[b]) > 2 * slack + m) + 1):
+        # Seeds whose passages overlap are aligned as one stretch, up to a length.
+        far = (np.diff(begin[b]) > 2 * slack + m) | (np.diff((begin[b] - begin[b[0]]) // STRETCH) > 0)
+        for group in np.split(begin[b], np.flatnonzero(far) + 1):
             low, high = max(low_of[i], int(group[0]) - slack), min(high_of[i], int(group[-1]) + m + slack)
-            if high - low > _MASK:
-                raise ValueError("stretch too long to align")
             score, first, last = align(item, text.numbers[low:high])
             if (best is None or score > best[0]) and (score >= least or _long(item, text.numbers[low:high], score)):
                 best = score, low + first, low + last, len(group)
@@ -224,7 +284,7 @@ def _blocks(items: DataFrame, key: str, text: str, most: int) -> Iterator[tuple[
     for row in items.select(key, text).filter(F.col(text).isNotNull()).distinct().orderBy(key, text).toLocalIterator():
         ids.append(row[0])
         data.append(row[1].encode())
-        words += row[1].count(" ") + 1
+        words += len(row[1].split())
         if words >= most:
             yield ids, data
             ids, data, words = [], [], 0
@@ -248,13 +308,12 @@ def _count(docs: DataFrame, index: Index, text: str) -> tuple[np.ndarray, int]:
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array([-1, *at], pa.int64()), pa.array([rows, *counts[at]], pa.int64())], names=["gram", "n"])
 
-    held, all_docs = np.zeros(len(index.grams), np.int64), 0
-    for gram, n in docs.select(text).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-        if gram < 0:
-            all_docs = n
-        else:
-            held[gram] = n
-    return held, all_docs
+    held = np.zeros(len(index.grams), np.int64)
+    found = docs.select(text).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    gram, n = (found.column(c).to_numpy() for c in ("gram", "n"))
+    held[gram[gram >= 0]] = n[gram >= 0]
+    shared.destroy()
+    return held, int(n[gram < 0].sum())
 
 
 def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

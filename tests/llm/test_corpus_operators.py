@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -294,6 +295,49 @@ def test_parts_of_long_items_and_edited_short_ones(spark, documents):
     assert round(got[4, 2].score, 2) == 0.79
 
 
+def test_documents_with_a_stock_phrase_are_not_aligned():
+    """200 items and 80 texts share a phrase and nothing else."""
+    rng = random.Random(11)
+    phrase = "which of the following best describes the main"
+    items = [f"{phrase} {' '.join(f'i{rng.randrange(10**6)}' for _ in range(30))}" for _ in range(200)]
+    texts = [f"{sentence(rng, 40)} {phrase} {sentence(rng, 40)}".encode() for _ in range(80)]
+    index = decontaminate.Index(list(range(200)), [t.encode() for t in items])
+    index.choose_seeds(np.full(len(index.grams), 80), 1)
+    began = time.perf_counter()
+    assert decontaminate.passages(index, texts, index.known(), 0.5) == []
+    assert time.perf_counter() - began < 1
+
+
+@pytest.mark.parametrize("entries, stretch", [(2_000_000, 1 << 20), (50, 60)])
+def test_seeds_find_what_aligning_everything_finds(monkeypatch, entries, stretch):
+    """Every pair whose best passage holds an n-gram of the item is found, and no other pair is."""
+    monkeypatch.setattr(decontaminate, "ENTRIES", entries)
+    monkeypatch.setattr(decontaminate, "PAIRS", 7)
+    monkeypatch.setattr(decontaminate, "STRETCH", stretch)
+    rng = random.Random(12)
+    items = [sentence(rng, rng.randrange(4, 60), 60) for _ in range(25)]
+    texts = [sentence(rng, rng.randrange(150), 60) for _ in range(40)]
+    for item in items:
+        for share in (0.0, 0.15, 0.3):
+            texts.append(f"{sentence(rng, 15, 60)} {edited(rng, item, share)} {sentence(rng, 15, 60)}")
+    texts.append(" ".join(items) * 3)
+    index = decontaminate.Index(list(range(len(items))), [t.encode() for t in items])
+    index.choose_seeds(np.ones(len(index.grams)), 1)
+    found = {hit[:2] for hit in decontaminate.passages(index, [t.encode() for t in texts], index.known(), 0.5)}
+    want, seeded = set(), set()
+    for i, text in enumerate(texts):
+        words = np.array([index.vocabulary.get(w.encode(), 0) for w in text.split()], np.int64)
+        for k, item in enumerate(index.items):
+            score, first, last = decontaminate.align(item, words)
+            if len(words) and (score >= decontaminate._least(len(item), index.n, 0.5) or decontaminate._long(item, words, score)):
+                want.add((i, k))
+                n = index.n if len(item) >= 2 * index.n else index.short
+                grams = {tuple(item[j : j + n]) for j in range(len(item) - n + 1)}
+                if any(tuple(words[j : j + n]) in grams for j in range(first, last - n + 1)):
+                    seeded.add((i, k))
+    assert seeded <= found <= want and len(seeded) > 60
+
+
 def test_planted_items_are_found_and_clean_documents_left(spark, sf):
     from marketlens.llm.queries import op4_decontamination
 
