@@ -14,8 +14,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -40,6 +42,8 @@ SENSITIVE = {
 STEMS = (b"password", b"passwd", b"passphrase", b"pwd", b"secret", b"token", b"key", b"credential")
 HARMLESS_TAIL = re.compile(r"(?:_?(?:url|uri|path|file|name|field|type|id|length|len|count|hint|label|regex|env|expiry|ttl))$")
 PLACEHOLDER = re.compile(r"(?i)change.?me|example|placeholder|your[_-]|dummy|redacted|<[^>]*>|\$\{|\{\{|x{4,}|\*{3,}")
+EDGE = 16  # characters on either side of a joint, more than any placeholder but <...> needs
+LONGEST = 1 << 40  # characters of a joined value that are counted
 THRESHOLD = 0.5
 
 TOKEN = re.compile(
@@ -72,25 +76,69 @@ def name_score(name: str) -> float:
     return max((w for part, w in SENSITIVE.items() if part in flat), default=0.0)
 
 
-def literal_score(value: str) -> float:
-    """Near 1 for long mixed values, 0 for short ones, placeholders and plain words or sentences."""
-    if len(value) < 8 or " " in value or PLACEHOLDER.search(value):
-        return 0.0
-    counts = Counter(value)
-    entropy = -sum(c / len(value) * math.log2(c / len(value)) for c in counts.values())
-    kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return min(1.0, entropy / 3.0) * (0.45 + 0.2 * kinds)
-
-
-def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
-    """Each assignment as its target name and the places of the literals that make up its value."""
+class Value:
+    """A literal, or literals and constants joined to one text.
+
+    Only what its score needs is known of the text: how often each character occurs, and what a placeholder
+    across a joint needs. Parts are kept by reference, so a constant that is added to itself line after line
+    costs no more than the lines.
+    """
+
+    __slots__ = ("place", "parts", "counts", "length", "head", "tail", "opened", "closed", "placeholder")
+
+    def __init__(self, place: tuple[int, int] | None, parts: tuple[Value, ...], text: str = ""):
+        self.place, self.parts = place, parts
+        if place is not None:
+            self.counts, self.length = Counter(text), len(text)
+            self.head, self.tail = text[:EDGE], text[-EDGE:]
+            self.opened, self.closed = "<" in text, ">" in text
+            self.placeholder = bool(PLACEHOLDER.search(text))
+            return
+        self.counts, self.length = Counter(), 0
+        self.head = self.tail = ""
+        self.opened = self.closed = self.placeholder = False
+        for part in parts:
+            joint = self.tail + part.head
+            self.placeholder = self.placeholder or part.placeholder or bool(PLACEHOLDER.search(joint)) or (self.opened and part.closed)
+            self.head = (self.head + part.head)[:EDGE] if self.length < EDGE else self.head
+            self.tail = part.tail if part.length >= EDGE else (self.tail + part.tail)[-EDGE:]
+            self.opened, self.closed = self.opened or part.opened, self.closed or part.closed
+            self.counts.update(part.counts)
+            self.length += part.length
+            if self.length > LONGEST:  # no text is: only the shares of the characters matter from here
+                self.counts = Counter({c: n * EDGE / self.length for c, n in self.counts.items()})
+                self.length = EDGE
+
+    def score(self) -> float:
+        """Near 1 for long mixed values, 0 for short ones, placeholders and plain words or sentences."""
+        if self.length < 8 or self.counts.get(" ") or self.placeholder:
+            return 0.0
+        entropy = -sum(c / self.length * math.log2(c / self.length) for c in self.counts.values())
+        chars = "".join(self.counts)
+        kinds = sum(bool(re.search(p, chars)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+        return min(1.0, entropy / 3.0) * (0.45 + 0.2 * kinds)
+
+    def places(self, known: set[int]) -> Iterator[tuple[int, int]]:
+        """Places of the literals; parts whose ``id`` is known are left out, and those met become known."""
+        left = [self]
+        while left:
+            value = left.pop()
+            if id(value) not in known:
+                known.add(id(value))
+                if value.place is not None:
+                    yield value.place
+                left += value.parts
+
+
+def pairs(text: str) -> Iterator[tuple[str, Value]]:
+    """Each assignment as its target name and its value."""
     tokens = [m for m in TOKEN.finditer(text)]
-    constants: dict[str, list[tuple[int, int]]] = {}
+    constants: dict[str, Value] = {}
     i = 0
     while i < len(tokens):
         m = tokens[i]
         if m.lastgroup == "tag" or m["tag"]:
-            yield m["tagname"], [m.span("tagvalue")]
+            yield m["tagname"], Value(m.span("tagvalue"), (), m["tagvalue"])
             i += 1
             continue
         if not (m["name"] or m["str"]):
@@ -106,24 +154,28 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
         if j >= len(tokens) or tokens[j]["op"] not in ("=", ":", ":=", "=>"):
             i += 1
             continue
-        pieces, j = _value(text, tokens, j + 1, constants)
-        if pieces:
-            constants[name] = pieces
-            yield name, pieces
+        value, j = _value(text, tokens, j + 1, constants)
+        if value:
+            constants[name] = value
+            yield name, value
         i = max(i + 1, j)
 
 
-def _value(text: str, tokens: list[re.Match], j: int, constants: dict) -> tuple[list[tuple[int, int]], int]:
-    pieces: list[tuple[int, int]] = []
+def _value(text: str, tokens: list[re.Match], j: int, constants: dict[str, Value]) -> tuple[Value | None, int]:
+    parts: list[Value] = []
     joined = True
+
+    def literal(a: int, b: int) -> Value:
+        return Value((a, b), (), text[a:b])
+
     while j < len(tokens) and joined:
         m = tokens[j]
         if m["str"]:
-            pieces.append((m.start() + 1, m.end() - 1))
+            parts.append(literal(m.start() + 1, m.end() - 1))
         elif m["name"] and m["name"] in constants:
-            pieces += constants[m["name"]]
-        elif not pieces and (bare := BARE.match(text, m.start())) and text[max(0, m.start() - 1)] in " \t=:":
-            pieces.append(bare.span())
+            parts.append(constants[m["name"]])
+        elif not parts and (bare := BARE.match(text, m.start())) and text[max(0, m.start() - 1)] in " \t=:":
+            parts.append(literal(*bare.span()))
             while j < len(tokens) and tokens[j].start() < bare.end():
                 j += 1
             break
@@ -132,18 +184,23 @@ def _value(text: str, tokens: list[re.Match], j: int, constants: dict) -> tuple[
         j += 1
         joined = j < len(tokens) and (tokens[j]["op"] == "+" or bool(tokens[j]["str"]))
         j += joined and tokens[j]["op"] == "+"
-    return pieces, j
+    return (parts[0] if len(parts) == 1 else Value(None, tuple(parts)) if parts else None), j
 
 
 def lexed_spans(text: str, base: list[Span]) -> list[Span]:
     """Literals under sensitive names that no base span touches."""
     found: set[tuple[int, int]] = set()
-    for name, pieces in pairs(text):
+    known: set[int] = set()
+    held = []  # values stay alive, so that their ids stay their own
+    for name, value in pairs(text):
+        held.append(value)
         weight = name_score(name)
-        if weight and weight * literal_score("".join(text[a:b] for a, b in pieces)) >= THRESHOLD:
-            found.update(p for p in pieces if p[0] < p[1])
-    taken = sorted((s.start, s.end) for s in base)
-    return [Span(a, "literal", b, a) for a, b in sorted(found) if not any(a < e and s < b for s, e in taken)]
+        if weight and weight * value.score() >= THRESHOLD:
+            found.update(p for p in value.places(known) if p[0] < p[1])
+    # Of the base spans that begin before a literal's end, one touches it if the furthest end is past its start.
+    starts = [s.start for s in base]
+    furthest = list(accumulate((s.end for s in base), max, initial=0))
+    return [Span(a, "literal", b, a) for a, b in sorted(found) if furthest[bisect_left(starts, b)] <= a]
 
 
 # Names are scored by their letters alone, so stems are looked for in the letters of each line. The two
