@@ -2,10 +2,14 @@
 
 A page is read as a list of tokens: words score positive, tags negative, and words that stand in a
 boilerplate block (menus, forms, adverts, comments ...) count as markup, so they score negative too.
-One linear scan finds the contiguous run with the highest sum. The weights come from labelled
-pages: pages whose main text is marked by an ``article`` element give, for words and for every tag,
-how much more often the token stands inside the article than outside (log odds, held to the sign the
-method asks for). They are fitted on a bounded sample of such pages; all pages are then read whole.
+One linear scan finds the contiguous run with the highest sum. Such a block is also scanned by itself, with
+its words as words, and its best run is the main text if it still beats the run around the blocks when it is
+weighed by the trust in the block's mark: a page whose whole story stands in ``<div class="legal-news">`` is read, and
+comments beside a story are not. The weights come from labelled pages: pages whose main text is marked by an
+``article`` element give, for words and for every tag, how much more often the token stands inside the
+article than outside (log odds, held to the sign the method asks for), and take trust from every mark by the
+words that its blocks hold beside the main text. They are fitted on a bounded sample of such pages; all pages
+are then read whole.
 The article tag itself weighs as much as a block tag and no more: pages whose articles are teasers or
 cards, and pages without any, have their main text found by the run alone.
 
@@ -21,6 +25,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -62,39 +67,60 @@ INLINE = frozenset(
 SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BLANK = re.compile(r"\s+")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+TRUST, TRUST_WORDS, LEAST_TRUST = 0.1, 500, 0.05  # of a mark before any page is seen, in so many words; after all pages
+LEAST_WORDS = 8  # by which a boilerplate block's own run, weighed by the trust in its mark, has to be better
 
 
-def _outside(tag: str, attr: str, in_article: bool) -> bool:
+def _outside(tag: str, attr: str, in_article: bool) -> str:
+    """What marks a block as boilerplate: a tag or a word of its attributes, or nothing."""
     if tag in OUTSIDE or (tag == "header" and not in_article):
-        return True
+        return tag
     if tag in ("html", "body", "main") or not attr:
-        return False
+        return ""
     for m in ATTR.finditer(attr):
         for name in (m[1] or m[2] or m[3] or "").split():
             parts = {p.lower() for p in PART.findall(name)}
             marks = parts & OUTSIDE_NAMES
             if marks and not parts & LAYOUT_NAMES and not (marks == {"header"} and parts & TITLE_NAMES):
-                return True
-    return False
+                return min(marks)
+    return ""
 
 
-def tokens(page: str) -> list[tuple[str, str, bool, bool]]:
-    """(kind, value, outside, in article) for every tag and text of a page, in order.
+class Block(NamedTuple):
+    mark: str
+    outer: Block | None  # the boilerplate block around it
+
+
+class Token(NamedTuple):
+    kind: str  # "text" or the tag's name
+    value: str
+    block: Block | None  # the innermost boilerplate block that it stands in
+    inside: bool  # of an article
+
+
+def tokens(page: str) -> list[Token]:
+    """Every tag and text of a page, in order.
 
-    ``kind`` is "text" or the tag's name; ``outside`` tells whether an enclosing block is boilerplate.
     An end tag that nothing opened is ignored, and the first article ends blocks left open before it.
     """
-    found: list[tuple[str, str, bool, bool]] = []
+    found: list[Token] = []
     open_tags: list[tuple[str, bool, bool]] = []
-    out_depth = art_depth = 0
+    where: dict[str, list[int]] = {}  # places of the open tags by name
+    solid: list[int] = []  # places of those that are not inline
+    block: Block | None = None
+    art_depth = 0
     seen_article = False
 
     def drop(k: int) -> None:
-        nonlocal out_depth, art_depth
-        for _, out, article in open_tags[k:]:
-            out_depth -= out
+        nonlocal block, art_depth
+        while len(open_tags) > k:
+            tag, out, article = open_tags.pop()
+            where[tag].pop()
+            if tag not in INLINE:
+                solid.pop()
+            if out:
+                block = block.outer
             art_depth -= article
-        del open_tags[k:]
 
     ends: dict[str, re.Pattern | None] = {t: re.compile(rf"</{t}\s*>", re.I) for t in SEALED}
     at = 0
@@ -103,47 +129,50 @@ def tokens(page: str) -> list[tuple[str, str, bool, bool]]:
         at = m.end()
         tag = (m["tag"] or "").lower()
         if m["text"]:
-            found.append(("text", html.unescape(m["text"]), out_depth > 0, art_depth > 0))
+            found.append(Token("text", html.unescape(m["text"]), block, art_depth > 0))
         elif m["cdata"]:
-            found.append(("text", m["cdata"], out_depth > 0, art_depth > 0))
+            found.append(Token("text", m["cdata"], block, art_depth > 0))
         elif tag in SEALED and not m["close"] and (ends[tag] or tag in RAW):
             end = ends[tag].search(page, at) if ends[tag] else None
             if end is None:
                 ends[tag] = None  # no later one is closed either
             if end or tag in RAW:
                 at = end.end() if end else len(page)
-            found.append((tag, "", True, art_depth > 0))
+            found.append(Token(tag, "", block, art_depth > 0))
         elif tag:
             if m["close"]:
-                k = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == tag), -1)
+                k = where[tag][-1] if where.get(tag) else -1
                 # An end tag of an inline element never ends a block around it.
-                if k >= 0 and (tag not in INLINE or all(t in INLINE for t, _, _ in open_tags[k:])):
+                if k >= 0 and (tag not in INLINE or not solid or solid[-1] < k):
                     drop(k)
             elif tag not in VOID and tag not in SEALED:
-                if tag in SELF_CLOSING:
-                    k = len(open_tags)
-                    while k and open_tags[k - 1][0] in INLINE:
-                        k -= 1
-                    if k and open_tags[k - 1][0] in SELF_CLOSING[tag]:
-                        drop(k - 1)
+                if tag in SELF_CLOSING and solid and open_tags[solid[-1]][0] in SELF_CLOSING[tag]:
+                    drop(solid[-1])
                 out = _outside(tag, m["attr"], art_depth > 0)
                 article = tag == "article" and not out
                 if article and not seen_article:
                     drop(sum(t in ("html", "body", "main") for t, _, _ in open_tags[:3]))
                     seen_article = True
-                open_tags.append((tag, out, article))
-                out_depth += out
+                where.setdefault(tag, []).append(len(open_tags))
+                if tag not in INLINE:
+                    solid.append(len(open_tags))
+                open_tags.append((tag, bool(out), article))
+                block = Block(out, block) if out else block
                 art_depth += article
-            found.append((tag, m["close"], out_depth > 0, art_depth > 0))
+            found.append(Token(tag, m["close"], block, art_depth > 0))
     return found
 
 
 def counts(page: str) -> Counter:
-    """How often each kind of token stands inside and outside the article of a labelled page."""
+    """How often each kind of token stands inside and outside the article of a labelled page, and words by the
+    mark of the block that they are in."""
     found: Counter = Counter()
-    for kind, value, outside, inside in tokens(page):
+    for kind, value, block, inside in tokens(page):
         if kind == "text":
-            found["outside words" if outside and inside else "words", inside] += len(value.split())
+            n = len(value.split())
+            found["outside words" if block and inside else "words", inside] += n
+            if block:
+                found[f"in {block.mark}", False] += n
         elif kind != "article":
             found[kind, inside] += 1
     return found
@@ -152,7 +181,10 @@ def counts(page: str) -> Counter:
 def weights_from(found: Counter) -> dict[str, float]:
     """Log odds of standing inside, at least 0.1 for words and at most -0.1 for tags.
 
-    Words of boilerplate blocks count as markup, half a point each."""
+    Words of boilerplate blocks count as markup, half a point each. The main text of labelled pages is none of them,
+    so the more words a mark holds there, the less it is trusted."""
+    marked = {k: n for (k, _), n in found.items() if k.startswith("in ")}
+    found = Counter({k: n for k, n in found.items() if k[0] not in marked})
     total = {side: sum(n for (_, s), n in found.items() if s == side) + 1.0 for side in (True, False)}
 
     def odds(kind: str) -> float:
@@ -163,6 +195,7 @@ def weights_from(found: Counter) -> dict[str, float]:
     weights = {k: max(-5.0, min(-0.1, odds(k))) for k in kinds if k != "words"}
     weights["words"] = min(5.0, max(0.1, odds("words")))
     weights["outside words"] = -0.5
+    weights |= {k: max(LEAST_TRUST, TRUST * TRUST_WORDS / (TRUST_WORDS + n)) for k, n in marked.items()}
     return weights
 
 
@@ -186,31 +219,61 @@ def fit_weights(pages: DataFrame, key: str = "page_id", page: str = "html", most
     return weights_from(Counter({(r["kind"], r["inside"]): r["n"] for r in rows.collect()}))
 
 
+class Run:
+    """The best run of the tokens that stand in ``block`` and in no block within it, as they are met."""
+
+    def __init__(self, block: Block | None):
+        self.block, self.total, self.start = block, 0.0, 0
+        self.best, self.begin, self.end = 0.0, 0, 0
+        self.cost = 0.0  # of the block to the run around it
+
+    def add(self, at: int, score: float) -> None:
+        if self.total <= 0:
+            self.total, self.start = 0.0, at
+        self.total += score
+        if self.total > self.best:
+            self.best, self.begin, self.end = self.total, self.start, at + 1
+
+
 def main_text(page: str, weights: dict[str, float]) -> str:
     """The blocks of the best run of tokens, without boilerplate blocks inside it.
 
     Boilerplate blocks within an article score nothing, so that they do not cut it in two.
     """
     items = tokens(page)
-    scores = []
     other = weights.get("div", -0.5)
-    for kind, value, outside, inside in items:
+    runs, closed = [Run(None)], []
+
+    def close(at: int) -> None:
+        closed.append(runs.pop())
+        runs[-1].add(at, closed[-1].cost)
+        runs[-1].cost += closed[-1].cost
+
+    for i, (kind, value, block, inside) in enumerate(items):
+        while runs[-1].block is not block and runs[-1].block is not (block and block.outer):
+            close(i - 1)
+        if runs[-1].block is not block:
+            runs.append(Run(block))
+        run = runs[-1]
         if kind == "text":
-            scores.append(weights["outside words" if outside else "words"] * len(value.split()) if not (outside and inside) else 0.0)
+            n = len(value.split())
+            run.add(i, weights["words"] * n)
+            cost = weights["outside words"] * n
         else:
-            scores.append(weights.get(kind, other) if not (outside and inside) else 0.0)
-    best = total = 0.0
-    begin = end = start = 0
-    for i, s in enumerate(scores):
-        if total <= 0:
-            total, start = 0.0, i
-        total += s
-        if total > best:
-            best, begin, end = total, start, i + 1
+            cost = 0.0 if inside and kind in SEALED else weights.get(kind, other)
+            run.add(i, cost)
+        run.cost += 0.0 if inside else cost
+    while len(runs) > 1:
+        close(len(items) - 1)
+    chosen, least = runs[0], runs[0].best + LEAST_WORDS * weights["words"]
+    for run in closed:
+        worth = run.best * weights.get(f"in {run.block.mark}", TRUST)
+        if worth > least:
+            chosen, least = run, worth
     blocks: list[list[str]] = [[]]
-    for kind, value, outside, _ in items[begin:end]:
+    for kind, value, block, _ in items[chosen.begin : chosen.end]:
         if kind == "text":
-            if not outside:
+            if block is chosen.block:
                 blocks[-1].append(value)
         elif kind not in INLINE and (kind not in SEALED or kind == "title"):
             blocks.append([])

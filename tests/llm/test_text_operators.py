@@ -88,6 +88,29 @@ def test_pieces_of_a_concatenation_are_all_spans():
     assert [text[s.start : s.end] for s in secrets.scan(text.encode())] == ["Zx9!kQ", "2w#Lm7"]
 
 
+def test_constants_added_to_themselves_cost_their_lines():
+    lines = ['a = "Zx9!kQ2w"'] + ["a = a + a"] * 10_000 + ["c = a + 'Lm7#'"] + ["c = c + a"] * 2_000 + ["db_password = c"]
+    text = "\n".join(lines)
+    began = time.perf_counter()
+    assert [text[s.start : s.end] for s in secrets.scan(text.encode())] == ["Zx9!kQ2w", "Lm7#"]
+    assert time.perf_counter() - began < 4
+
+
+@pytest.mark.parametrize("left, right", [("<secr", "et>Ab9#"), ("Ab9#cha", "nge-me"), ("Ab9#xx", "xxQ1"), ("Ab9#dum", "my12"), ("pla", "ceholderA1#")])
+def test_placeholders_across_a_joint_are_no_secrets(left, right):
+    for text in (f'api_secret = "{left}" + "{right}"', f"p = '{left}'\nq = p + '{right}'\npassphrase = q"):
+        assert not [s for s in secrets.scan(text.encode()) if s.kind == "literal"]
+
+
+def test_literals_are_held_against_nested_base_spans():
+    base = [secrets.Span(0, "assign", 50, 10), secrets.Span(12, "access", 30, 12), secrets.Span(60, "hex", 70, 60)]
+    text = " " * 52 + 'token_="Zx9!kQ2w"'
+    wide = " " * 20 + 'secret="Zx9!kQ2w"'
+    assert secrets.lexed_spans(wide, base) == []
+    assert [(s.start, s.end) for s in secrets.lexed_spans(text, base[:2])] == [(60, 68)]
+
+
+
 def test_redaction_keeps_rows_and_names(documents):
     docs = documents(list(enumerate(SECRETS)))
     out = {r.doc_id: r for r in secrets.redact_secrets(docs).collect()}
@@ -171,6 +194,29 @@ def test_main_text_is_linear_in_what_is_left_open():
         assert len(html.main_text(piece * 20_000, WEIGHTS)) >= 0
 
 
+@pytest.mark.parametrize("block", ['div class="legal-news"', 'div class="discussion-paper"', 'div id="social"', 'div class="modal"><div class="alert-text"'])
+def test_a_story_in_a_block_with_a_telling_name_is_read(block):
+    story = " ".join(f"word{i}" for i in range(200))
+    page = f"<html><head><title>A</title></head><body><nav><a>Home</a> <a>News</a></nav><h1>Heading</h1><{block}><p>{story}</p></div><footer>f g</footer>"
+    assert story in html.main_text(page, WEIGHTS) and "Home" not in html.main_text(page, WEIGHTS)
+    seen = WEIGHTS | {f"in {m}": html.LEAST_TRUST for m in ("social", "legal", "alert", "discussion")}
+    assert story in html.main_text(page, seen)
+
+
+def test_long_comments_beside_a_story_stay_out():
+    story, comment = " ".join(f"word{i}" for i in range(200)), "<p>" + "me too " * 100 + "</p>"
+    page = f"<div><p>{story}</p></div><div class=comments>{comment * 8}</div>"
+    assert html.main_text(page, WEIGHTS) == story
+    assert html.main_text("<nav>" + "<a>Home</a> <a>News</a>" * 20 + "</nav><article></article>", WEIGHTS) == ""
+
+
+def test_nested_tags_are_linear():
+    for page in ("<div>" * 40_000 + "</span>" * 40_000, "<b>" * 40_000 + "<p>" * 40_000, "<nav>" * 20_000 + "x</nav>" * 20_000, "<b><div>" * 20_000 + "</b>" * 20_000):
+        began = time.perf_counter()
+        html.main_text(page, WEIGHTS)
+        assert time.perf_counter() - began < 3
+
+
 def test_pages_match_their_articles(spark, sf):
     pages = table(spark, sf, "pages")
     got = {r.page_id: r for r in html.extract_text(pages).collect()}
