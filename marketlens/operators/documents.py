@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.cleaning import flag
-from marketlens.schemas import CORRUPT
+from marketlens.schemas import CORRUPT, MISSING
 
 # Warranty entries that become columns; below, the field names of the crawled documents.
 WARRANTY_FIELDS = {
@@ -45,11 +45,14 @@ def last_value(entries: Column, key: str) -> Column:
 
 
 def reject_reason() -> Column:
-    """Why a product document cannot be used; null when it can."""
+    """Why a product document cannot be used; null when it can.
+
+    An author lacks a field that is missing, not one that is given as null.
+    """
     return (
         F.when(F.col(CORRUPT).isNotNull(), "unreadable")
         .when(F.coalesce(F.size("breadcrumbs"), F.lit(0)) <= 0, "no category")
-        .when(F.exists(F.coalesce("authors", F.array().cast("array<struct<id:bigint,name:string>>")), lambda a: a["id"].isNull()), "author without id")
+        .when(F.size(MISSING) > 0, F.concat(F.lit("author without "), F.col(MISSING)[0]))
     )
 
 

@@ -43,6 +43,14 @@ def _reference(reference: DataFrame, keys: Sequence[str], unique: bool) -> DataF
     return chosen if unique else chosen.distinct()
 
 
+def keyed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is whole, and those with a null part, which no join would ever find again."""
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
+    return df.filter(whole), df.filter(~whole)
+
+
 def existing(df: DataFrame, reference: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
     """Rows whose key occurs in ``reference``; ``unique`` says it holds each key once."""
     return df.join(_reference(reference, keys, unique), list(keys), "left_semi")

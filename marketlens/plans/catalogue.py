@@ -12,8 +12,8 @@ from marketlens.functions import display as X
 from marketlens.functions import text as TX
 from marketlens.operators import checks, collab, documents, keys, load, profile, serving, similarity, terms
 from marketlens.plans import gold, recommend, silver, star
-from marketlens.plans.warehouse import load_warehouse, open_warehouse, read_rejects
-from marketlens.schemas import LISTING_DOC, TRACKING_CSV, WAREHOUSE, Column, TableSpec
+from marketlens.plans.warehouse import load_table, load_warehouse, open_warehouse, read_rejects
+from marketlens.schemas import LISTING_DOC, TRACKING_CSV, UNREAD, WAREHOUSE, Column, TableSpec
 from marketlens.session import fresh_path, staged
 from marketlens.sources import files
 from marketlens.sources.versions import read_current
@@ -236,6 +236,27 @@ def json_product_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return bad.select("p_partkey", "reason")
 
 
+@query
+def json_mixed_types(spark: SparkSession, sf: str) -> DataFrame:
+    """One document per part whose values vary in type; what does not convert is null and reported."""
+    doc = """concat('{"id": ', if(p_partkey % 2 = 0, concat('"', p_partkey, '"'), concat(p_partkey, '.0')),
+        ', "name": ', if(p_partkey % 11 = 0, string(p_size), concat('"', p_name, '"')),
+        ', "review_count": ', get(array('"12"', '12.0', '12.5', '"many"', 'null', '[1]', '7'), cast(p_partkey % 7 as int)),
+        ', "rating_average": ', get(array('"4.5"', '4', '{"x": 1}', 'true and', '3.25'), cast(p_partkey % 5 as int)),
+        ', "brand": ', if(p_partkey % 3 = 0, '"none"', concat('{"id": "', p_size, '", "name": "', p_brand, '"}')),
+        ', "breadcrumbs": [{"category_id": "', p_size, '", "name": "a"}, ', if(p_partkey % 4 = 0, '5', '{"category_id": 1.5}'), ']',
+        get(array('', ', "authors": [{"id": 1, "name": null}]', ', "authors": [{"id": 1}]', ', "authors": [{"name": "x"}, {"id": 2, "name": "y"}]', ', "authors": null'), cast(p_size % 5 as int)),
+        '}')"""
+    parsed = files.parse_documents(star.table(spark, sf, "part").selectExpr("p_partkey", f"{doc} as doc"), "doc", "products")
+    judged = parsed.withColumn("reason", documents.reject_reason())
+    rows = documents.product_rows(judged, ["p_partkey", "reason", UNREAD])
+    return rows.select(
+        "p_partkey", F.coalesce("reason", F.lit("")).alias("reason"), F.array_join(UNREAD, " ").alias("unread"),
+        *(F.coalesce(c, F.lit(-1)).alias(c) for c in ("product_id", "review_count", "rating_average", "brand_id", "category_id")),
+        F.coalesce("product_name", F.lit("")).alias("product_name"), F.size("authors").alias("n_authors"),
+    )
+
+
 @query
 def json_seller_flatten(spark: SparkSession, sf: str) -> DataFrame:
     text = star.table(spark, sf, "supplier").selectExpr(
@@ -427,6 +448,29 @@ def load_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return stored.unionByName(refused).select("table_name", "tag", "reason", "n_rows")
 
 
+@query
+def load_guards(spark: SparkSession, sf: str) -> DataFrame:
+    """What loads refuse and keep: null keys in two loads without a tag, a bridge without its parents, and
+    null keys in two drops of a stream."""
+    base = fresh_path(spark, "guards")
+    products = staged(_silver_products(spark, sf), "silver-products")
+    brands = gold.gold_brands(products)
+    for k in (2, 3):
+        load_table(brands.withColumn("brand_id", F.expr(f"case when brand_id % {k} <> 0 then brand_id end")), WAREHOUSE["brands"], base)
+    load_warehouse({"products_authors": gold.gold_products_authors(products)}, base)
+    stored = profile.table_counts(open_warehouse(spark, base)).withColumn("reason", F.lit(""))
+    refused = read_rejects(spark, base).groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    upsert = incremental.upsert_batches(f"{base}/users", ["user_id"], [F.desc("event_id")], "events")
+    for i, drop in enumerate(_drops(spark, sf, "event_type <> 'purchase'")):
+        keyed = drop.withColumn("user_id", F.expr("case when event_id % 7 <> 0 then user_id end"))
+        files.write_json(keyed, f"{base}/in/drop{i}")
+        incremental.run_available(spark, f"{base}/in", drop.schema, upsert, f"{base}/state", recursiveFileLookup="true")
+    users = read_current(spark, f"{base}/users").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("reason", F.lit(""))
+    lost = incremental.read_refused(spark, f"{base}/users", drop.schema).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("reason", F.lit("no key"))
+    streamed = users.unionByName(lost).withColumn("table_name", F.lit("users"))
+    return stored.unionByName(refused).unionByName(streamed).select("table_name", "reason", "n_rows")
+
+
 @query
 def item_key_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     items = star.table(spark, sf, "lineitem").select(X.item_key(F.col("l_partkey"), F.col("l_suppkey")).alias("item_id"))

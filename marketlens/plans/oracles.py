@@ -229,6 +229,26 @@ SELECT p_partkey AS product_id, 'SKU' || p_partkey AS product_sku, p_name AS pro
 FROM part WHERE ({_REJECT}) IS NULL
 """
 ORACLES["json_product_rejects"] = f"SELECT p_partkey, {_REJECT} AS reason FROM part WHERE ({_REJECT}) IS NOT NULL"
+ORACLES["json_mixed_types"] = """
+WITH t AS (
+  SELECT *, p_partkey % 5 = 3 AS broken, p_partkey % 7 AS r, p_partkey % 5 AS a, p_size % 5 AS u FROM part
+)
+SELECT p_partkey,
+  CASE WHEN broken THEN 'unreadable' WHEN u = 2 THEN 'author without name' WHEN u = 3 THEN 'author without id' ELSE '' END AS reason,
+  CASE WHEN broken THEN '' ELSE concat_ws(' ',
+    CASE WHEN p_partkey % 4 = 0 THEN 'breadcrumbs[]' ELSE 'breadcrumbs[].category_id' END,
+    CASE WHEN p_partkey % 3 = 0 THEN 'brand' END,
+    CASE WHEN a = 2 THEN 'rating_average' END,
+    CASE WHEN r IN (2, 3, 5) THEN 'review_count' END) END AS unread,
+  CASE WHEN broken THEN -1 ELSE p_partkey END AS product_id,
+  CAST(CASE WHEN broken OR r IN (2, 3, 4, 5) THEN -1 WHEN r = 6 THEN 7 ELSE 12 END AS BIGINT) AS review_count,
+  CAST(CASE WHEN broken OR a = 2 THEN -1 WHEN a = 0 THEN 4.5 WHEN a = 1 THEN 4 ELSE 3.25 END AS DOUBLE) AS rating_average,
+  CAST(CASE WHEN broken OR p_partkey % 3 = 0 THEN -1 ELSE p_size END AS BIGINT) AS brand_id,
+  CAST(CASE WHEN broken THEN -1 ELSE p_size END AS BIGINT) AS category_id,
+  CASE WHEN broken THEN '' WHEN p_partkey % 11 = 0 THEN CAST(p_size AS VARCHAR) ELSE p_name END AS product_name,
+  CAST(CASE WHEN broken THEN 0 WHEN u IN (1, 2) THEN 1 WHEN u = 3 THEN 2 ELSE 0 END AS INTEGER) AS n_authors
+FROM t
+"""
 ORACLES["json_seller_flatten"] = """
 SELECT s_suppkey AS seller_id, s_name AS seller_name, 'i' || s_suppkey AS icon_url, 'u' || s_suppkey AS store_url,
   s_acctbal AS avg_rating_point, CAST(s_nationkey AS BIGINT) AS review_count, CAST(s_nationkey * 3 AS BIGINT) AS total_follower,
@@ -571,3 +591,13 @@ UNION ALL SELECT 'sellers', 'day2',
   CASE k % 4 WHEN 1 THEN 'store_level length 32' WHEN 2 THEN 'avg_rating_point decimal(4,3)' ELSE 'seller_id not null' END, count(*)
 FROM s WHERE k % 3 = 1 AND k % 4 <> 0 GROUP BY ALL
 """
+ORACLES["load_guards"] = f"""
+WITH {_PRODUCTS},
+b AS (SELECT DISTINCT brand_id FROM sp WHERE brand_id IS NOT NULL)
+SELECT 'brands' AS table_name, '' AS reason, count(*) AS n_rows FROM b WHERE brand_id % 2 <> 0 OR brand_id % 3 <> 0
+UNION ALL SELECT 'brands', 'brand_id not null', CAST(count_if(brand_id % 2 = 0) + count_if(brand_id % 3 = 0) AS BIGINT) FROM b
+UNION ALL SELECT 'products_authors', '', 0
+UNION ALL SELECT 'products_authors', 'no products; no authors', count(*) FROM ({ORACLES["gold_products_authors"]})
+UNION ALL SELECT 'users', '', count(DISTINCT user_id) FROM events WHERE event_id % 7 <> 0
+UNION ALL SELECT 'users', 'no key', count(*) FROM events WHERE event_id % 7 = 0 OR user_id IS NULL
+"""

@@ -9,6 +9,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 CORRUPT = "_corrupt_record"
+UNREAD = "_unread"  # paths of values that are given but do not convert
+MISSING = "_missing"  # fields that some element of the kind's array of named things lacks
 
 # Flags arrive as true/false or 0/1, so they are read as text and cast later.
 PRODUCT_DOC = """
@@ -55,6 +57,10 @@ DOCUMENT_KINDS = {
 }
 
 
+# Arrays whose elements must have these fields.
+NAMED_THINGS = {"products": ("authors", ["id", "name"])}
+
+
 @dataclass(frozen=True)
 class Column:
     """One warehouse column: Spark type, optional text length, nullability and default."""

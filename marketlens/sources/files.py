@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlens.schemas import CORRUPT, DOCUMENT_KINDS
+from marketlens.functions import variant
+from marketlens.schemas import CORRUPT, DOCUMENT_KINDS, MISSING, NAMED_THINGS, UNREAD
 
 
 def table_path(base: str, layer: str, schema: str, table: str) -> str:
@@ -39,12 +40,21 @@ def scan_documents(spark: SparkSession, root: str, kind: str, pattern: str | Non
 
 
 def parse_documents(texts: DataFrame, text: str, kind: str) -> DataFrame:
-    """The columns of the documents in the JSON column ``text``, next to the other columns."""
-    full = f"{DOCUMENT_KINDS[kind][1]}, {CORRUPT} string"
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    """The columns of the documents in the JSON column ``text``, next to the other columns.
+
+    Values are converted one by one, so a document is unreadable only if it is no JSON object. Paths of
+    values that do not convert and fields that are missing where they must be stand in columns of their own.
+    """
+    schema = T.StructType.fromDDL(DOCUMENT_KINDS[kind][1])
     # A generator keeps later filters above the parser, which then runs once per document.
-    parsed = F.inline(F.array(F.from_json(F.col(text), full, options)))
-    return texts.select(*[c for c in texts.columns if c != text], parsed)
+    parsed = texts.select("*", F.explode(F.array(F.try_parse_json(text))).alias("_json"))
+    value = F.col("_json")
+    broken = F.when(F.coalesce(~variant.is_object(value), F.lit(True)), F.col(text)).alias(CORRUPT)
+    array, names = NAMED_THINGS.get(kind, ("", []))
+    lacking = variant.missing(value, array, names) if array else F.array().cast("array<string>")
+    fields = [variant.read(variant.part(value, f.name), f.dataType).alias(f.name) for f in schema.fields]
+    kept = [c for c in texts.columns if c != text]
+    return parsed.select(*kept, *fields, broken, variant.unread(value, schema).alias(UNREAD), lacking.alias(MISSING))
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:

@@ -1,4 +1,8 @@
-"""Incremental loads: every file once, known keys skipped, batches upserted."""
+"""Incremental loads: every file once, known keys skipped, batches upserted.
+
+Rows without a whole key are neither new nor known, so they are refused and kept under the name of their
+batch, where a repeated batch replaces its own.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlens.operators.keys import append_rows, keep_one, unknown
+from marketlens.operators.keys import append_rows, keep_one, keyed, unknown
 from marketlens.session import staged
 from marketlens.sources.files import path_exists
 from marketlens.sources.versions import BUCKETS, is_loaded, publish_upsert
@@ -38,6 +42,19 @@ def run_available(
     query.awaitTermination()
 
 
+def refuse(rows: DataFrame, folder: str, load: str) -> None:
+    """Keeps ``rows`` in place of those that the same load has refused before."""
+    rows.write.mode("overwrite").parquet(f"{folder}/load={load}")
+
+
+def read_refused(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
+    """Rows that the handlers of the table or tracking folder ``base`` have refused, with their load."""
+    full = T.StructType([*schema.fields, T.StructField("load", T.StringType())])
+    if not path_exists(spark, f"{base}-refused"):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(f"{base}-refused")
+
+
 def read_tracking(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Keys of all batches so far with the load that took them and their bucket; empty before the first."""
     full = T.StructType([*schema.fields, T.StructField("load", T.StringType()), T.StructField("bucket", T.IntegerType())])
@@ -65,7 +82,9 @@ def new_keys_only(
         spark = batch.sparkSession
         load = f"{stream}-{batch_id}"
         bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-        first = staged(keep_one(batch, keys, order).withColumn("_bucket", bucket), "batch")
+        whole, lacking = keyed(batch, keys)
+        refuse(lacking, f"{tracking}-refused", load)
+        first = staged(keep_one(whole, keys, order).withColumn("_bucket", bucket), "batch")
         touched = [r[0] for r in first.select("_bucket").distinct().collect()]
         seen = read_tracking(spark, tracking, batch.select(*keys).schema)
         seen = seen.filter((F.col("load") != load) & F.col("bucket").isin(touched)).select(*keys)
@@ -78,8 +97,8 @@ def new_keys_only(
 
 
 def track(tracking: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Candidates not tracked yet, each key once, and the tracking table with them added."""
-    fresh = keep_one(unknown(candidates, tracking, keys, unique=True), keys)
+    """Candidates not tracked yet, each whole key once, and the tracking table with them added."""
+    fresh = keep_one(unknown(keyed(candidates, keys)[0], tracking, keys, unique=True), keys)
     return fresh, append_rows(tracking, fresh.select(*tracking.columns))
 
 
@@ -93,6 +112,8 @@ def upsert_batches(base: str, keys: Sequence[str], order: Sequence[Column], stre
     def run(batch: DataFrame, batch_id: int) -> None:
         tag = f"{stream}-{batch_id}"
         if not is_loaded(batch.sparkSession, base, tag):
-            publish_upsert(keep_one(batch, keys, order), base, keys, tag)
+            whole, lacking = keyed(batch, keys)
+            refuse(lacking, f"{base}-refused", tag)
+            publish_upsert(keep_one(whole, keys, order), base, keys, tag)
 
     return run

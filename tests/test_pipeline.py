@@ -142,7 +142,7 @@ def test_null_key_is_refused_and_kept_apart(spark):
     for _ in range(3):
         warehouse.load_table(df, WAREHOUSE["brands"], base)
     assert [tuple(r) for r in read_current(spark, f"{base}/brands").collect()] == [("1", "b")]
-    assert [(r["table_name"], r["reason"]) for r in warehouse.read_rejects(spark, base).collect()] == [("brands", "brand_id not null")]
+    assert [(r["table_name"], r["reason"]) for r in warehouse.read_rejects(spark, base).collect()] == [("brands", "brand_id not null")] * 3
 
 
 def test_values_that_do_not_fit_are_refused_not_emptied(spark):
@@ -161,8 +161,43 @@ def test_rows_without_parent_are_refused(spark):
     warehouse.load_warehouse({"authors": spark.createDataFrame([("7", "An")], "author_id string, author_name string")}, base)
     bridge = spark.createDataFrame([("1", "1", "7"), ("1", "1", "8")], "product_id string, seller_id string, author_id string")
     warehouse.load_warehouse({"products_authors": bridge}, base)
-    assert [r["author_id"] for r in read_current(spark, f"{base}/products_authors").collect()] == ["7"]
-    assert [r["reason"] for r in warehouse.read_rejects(spark, base).collect()] == ["no authors"]
+    # No product is stored, so both rows are refused.
+    assert read_current(spark, f"{base}/products_authors").count() == 0
+    assert sorted(r["reason"] for r in warehouse.read_rejects(spark, base).collect()) == ["no products", "no products; no authors"]
+    warehouse.load_warehouse({"products_authors": bridge}, base, references=False)
+    assert read_current(spark, f"{base}/products_authors").count() == 2
+    assert warehouse.read_rejects(spark, base).count() == 2
+
+
+def test_rejects_of_all_loads_are_kept(spark, monkeypatch):
+    base, spec = fresh_path(spark, "dwh"), WAREHOUSE["brands"]
+    for rows in ([("1", "a"), (None, "b")], [("2", "c")], [(None, "d"), ("3", "x" * 300)]):
+        warehouse.load_table(spark.createDataFrame(rows, "brand_id string, brand_name string"), spec, base)
+    names = [json.loads(r["row"])["brand_name"][:1] for r in warehouse.read_rejects(spark, base).collect()]
+    assert sorted(names) == ["b", "d", "x"]
+    # A load that fails leaves no rejects that are read, and the next one replaces them.
+    monkeypatch.setattr(warehouse, "publish", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        warehouse.load_table(spark.createDataFrame([(None, "e")], "brand_id string, brand_name string"), spec, base)
+    monkeypatch.undo()
+    assert warehouse.read_rejects(spark, base).count() == 3
+    warehouse.load_table(spark.createDataFrame([("4", "f")], "brand_id string, brand_name string"), spec, base)
+    assert warehouse.read_rejects(spark, base).count() == 3
+
+
+def test_null_keys_of_streams_are_refused_once(spark):
+    base = fresh_path(spark, "stream")
+    upsert, taken = incremental.upsert_batches(f"{base}/t", ["k"], [F.col("v")], "s"), []
+    skip = incremental.new_keys_only(f"{base}/seen", ["k"], lambda fresh, i: taken.append(sorted(r["v"] for r in fresh.collect())), [F.col("v")], "s")
+    for i in (0, 1, 1):
+        batch = spark.createDataFrame([(None, f"n{i}"), (1, f"a{i}"), (i + 2, "b")], "k int, v string")
+        upsert(batch, i)
+        skip(batch, i)
+    assert sorted(tuple(r) for r in read_current(spark, f"{base}/t").collect()) == [(1, "a1"), (2, "b"), (3, "b")]
+    assert taken == [["a0", "b"], ["b"], ["b"]]
+    for name in ("t", "seen"):
+        refused = incremental.read_refused(spark, f"{base}/{name}", batch.schema)
+        assert sorted((r["load"], r["v"]) for r in refused.collect()) == [("s-0", "n0"), ("s-1", "n1")]
 
 
 def test_two_loads_of_one_version_do_not_undo_each_other(spark, monkeypatch):
@@ -279,3 +314,18 @@ def test_known_keys_are_skipped_and_a_repeated_batch_is_not(spark):
     other = incremental.new_keys_only(base, ["k"], take, [F.col("v")], "t")
     other(spark.createDataFrame([(4, "g"), (5, "h")], "k int, v string"), 0)
     assert got[0] == ["h"]
+
+
+def test_values_of_other_types_are_read_or_reported(spark):
+    docs = {
+        "a": '{"id": "7", "review_count": 12.0, "rating_average": "4.5", "sku": 5, "brand": "x", "breadcrumbs": [{"category_id": "3", "name": null}]}',
+        "b": '{"id": 7.5, "review_count": "many", "breadcrumbs": {"category_id": 3}, "authors": [1, {"id": null, "name": null}]}',
+        "c": "[1]", "d": "", "e": None, "f": '{"id": 1, "breadcrumbs": [{}], "authors": [{"id": null, "name": null}], "extra": {}}', "g": '{"id": null}',
+    }
+    parsed = files.parse_documents(spark.createDataFrame(list(docs.items()), "k string, doc string"), "doc", "products")
+    rows = {r["k"]: r for r in parsed.withColumn("reason", D.reject_reason()).collect()}
+    assert (rows["a"]["id"], rows["a"]["review_count"], rows["a"]["rating_average"], rows["a"]["sku"]) == (7, 12, 4.5, "5")
+    assert rows["a"]["_unread"] == ["brand"] and rows["a"]["breadcrumbs"][0]["category_id"] == 3 and rows["a"]["reason"] is None
+    assert rows["b"]["_unread"] == ["id", "breadcrumbs", "authors[]", "review_count"] and rows["b"]["_missing"] == ["id", "name"]
+    assert [rows[k]["reason"] for k in "cdfg"] == ["unreadable", "unreadable", None, "no category"]
+    assert rows["e"]["reason"] == "no category" and rows["f"]["authors"][0]["id"] is None
