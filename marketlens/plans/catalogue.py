@@ -680,6 +680,13 @@ def similar_to_product(spark: SparkSession, sf: str) -> DataFrame:
     return index.similar_to(wanted)
 
 
+@query
+def similar_to_offers(spark: SparkSession, sf: str) -> DataFrame:
+    """The products most like every offer whose product id is divisible by 100, by content."""
+    index = recommend.content_index(gold.gold_products(_silver_products(spark, sf)))
+    return index.similar_to(star.offer_keys(spark, sf).filter("product_id % 100 = 0"))
+
+
 @query
 def item_index(spark: SparkSession, sf: str) -> DataFrame:
     return collab.item_index(star.table(spark, sf, "lineitem").selectExpr("l_partkey as product_id", "l_suppkey as seller_id"))
@@ -713,6 +720,38 @@ def als_properties(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def picks_with_names(spark: SparkSession, sf: str) -> DataFrame:
+    """The five items that every customer has bought most of, with the names of those in the catalogue."""
+    bought = star.table(spark, sf, "lineitem").join(star.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    recs = bought.groupBy(F.col("o_custkey").alias("customer_id"), F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id")).agg(F.sum("l_quantity").alias("rating"))
+    names = star.offer_names(spark, sf).filter("product_id % 4 <> 0")
+    return collab.user_picks(recs, names).select("customer_id", "rank", "product_id", "seller_id", "rating", F.coalesce("product_name", F.lit("")).alias("product_name"))
+
+
+@query
+def found_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """All lines of one product, and those of one of its sellers, by equal values."""
+    lines = star.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    both = [serving.find(lines, l_partkey=7).withColumn("by", F.lit("product")), serving.find(lines, l_partkey=7, l_suppkey=3).withColumn("by", F.lit("offer"))]
+    return both[0].unionByName(both[1])
+
+
+@query
+def als_exact_top10(spark: SparkSession, sf: str) -> DataFrame:
+    """Per hundredth customer: the exact best items from fitted factors, held against the model's own list."""
+    reviews = staged(star.reviews(spark, sf), "ratings")
+    model = collab.fit(collab.ratings(reviews, collab.item_index(reviews)))
+    users = staged(model.userFactors.filter("id % 100 = 0"), "user-factors")
+    best = collab.best_items(users, staged(model.itemFactors, "item-factors"), 10)
+    own = model.recommendForUserSubset(users.select(F.col("id").alias("customer_id")), 10)
+    own = own.select("customer_id", F.posexplode("recommendations").alias("at", "r")).select("customer_id", (F.col("at") + 1).alias("rank"), "r.rating")
+    met = best.join(own, (best.user_id == own.customer_id) & (best["rank"] == own["rank"]), "left")
+    return met.groupBy(F.col("user_id").cast("long").alias("customer_id")).agg(
+        F.count(F.lit(1)).alias("n_picks"), F.every(F.coalesce(F.abs(F.col("score") - F.col("rating")) < 0.001, F.lit(False))).alias("agrees")
+    )
+
+
 @query
 def factors_top10(spark: SparkSession, sf: str) -> DataFrame:
     """The exact best vectors for every hundredth one, as users and items with given factors."""
@@ -773,6 +812,19 @@ def file_sources(spark: SparkSession, sf: str) -> DataFrame:
     return folders.unionByName(sold).unionByName(refused).unionByName(words).unionByName(tracked.select(F.lit("tracking").alias("what"), F.lit("rows").alias("name"), "n"))
 
 
+@query
+def file_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """A document for every part, written in files of many by brand, then scanned, sorted out and counted."""
+    base = fresh_path(spark, "documents")
+    written = _product_documents(spark, sf).join(star.table(spark, sf, "part").select("p_partkey", "p_brand"), "p_partkey")
+    written.select(F.substring("p_brand", 7, 10).alias("folder"), F.col("doc").alias("value")).write.partitionBy("folder").text(f"{base}/files")
+    good, bad = documents.split_products(files.scan_documents(spark, f"{base}/files", "products", "part-*", lines=True))
+    folder = F.regexp_extract("path", "/folder=([^/]*)/", 1).alias("folder")
+    rows = documents.product_rows(good, ["path"]).groupBy(folder).agg(F.count(F.lit(1)).alias("n"), F.sum("product_id").alias("ids"))
+    refused = bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("ids"))
+    return rows.select(F.lit("kept").alias("what"), F.col("folder").alias("name"), "n", "ids").unionByName(refused.select(F.lit("refused").alias("what"), F.col("reason").alias("name"), "n", "ids"))
+
+
 def _drops(spark: SparkSession, sf: str, first: str) -> list[DataFrame]:
     events = star.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
     return [events.filter(first), events.filter(f"not coalesce({first}, false)")]

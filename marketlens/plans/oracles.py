@@ -484,6 +484,40 @@ ranked AS (
 )
 SELECT for_product_id, for_seller_id, product_id, seller_id, score, CAST(r AS INTEGER) AS rank FROM ranked WHERE r <= 10
 """
+# Offers of one part share a text here too.
+ORACLES["similar_to_offers"] = f"""
+{_product_index("product_name || ' ' || description || ' ' || specifications")},
+w AS MATERIALIZED (SELECT product_id, token, any_value(weight) AS w FROM weights GROUP BY ALL),
+offers AS MATERIALIZED (SELECT DISTINCT product_id, seller_id FROM weights),
+scores AS MATERIALIZED (
+  SELECT a.product_id AS p, b.product_id AS q, round(sum(a.w * b.w), 6) AS score FROM w a JOIN w b USING (token) WHERE a.product_id % 100 = 0 GROUP BY ALL
+),
+ranked AS (
+  SELECT a.product_id AS for_product_id, a.seller_id AS for_seller_id, b.product_id, b.seller_id, score,
+    row_number() OVER (PARTITION BY a.product_id, a.seller_id ORDER BY score DESC, b.product_id, b.seller_id) AS r
+  FROM offers a JOIN scores ON a.product_id = p JOIN offers b ON b.product_id = q
+  WHERE score >= 0.1 AND (a.product_id <> b.product_id OR a.seller_id <> b.seller_id)
+)
+SELECT for_product_id, for_seller_id, product_id, seller_id, score, CAST(r AS INTEGER) AS rank FROM ranked WHERE r <= 10
+"""
+ORACLES["picks_with_names"] = """
+WITH bought AS (
+  SELECT o_custkey AS customer_id, l_partkey AS product_id, l_suppkey AS seller_id, sum(l_quantity) AS rating
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY rating DESC, product_id, seller_id) AS r FROM bought)
+SELECT customer_id, CAST(r AS INTEGER) AS rank, product_id, seller_id, rating, CASE WHEN product_id % 4 <> 0 THEN p_name ELSE '' END AS product_name
+FROM ranked JOIN part ON p_partkey = product_id WHERE r <= 5
+"""
+ORACLES["found_lines"] = """
+WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem WHERE l_partkey = 7)
+SELECT *, 'product' AS by FROM r UNION ALL SELECT *, 'offer' FROM r WHERE l_suppkey = 3
+"""
+ORACLES["als_exact_top10"] = """
+WITH n AS (SELECT count(*) AS items FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem))
+SELECT DISTINCT o_custkey AS customer_id, least(10, items) AS n_picks, true AS agrees
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey, n WHERE o_custkey % 100 = 0
+"""
 ORACLES["als_properties"] = """
 WITH n AS (SELECT count(*) AS items FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem))
 SELECT DISTINCT o_custkey AS customer_id, least(20, items) AS n_picks, true AS ranks_whole, true AS ratings_fall, true AS items_known
@@ -507,6 +541,10 @@ UNION ALL SELECT 'rejects', 'no category', count(*) FROM pages WHERE size % 2 <>
 UNION ALL SELECT 'words', lower(p_type), length(p_type) FROM (SELECT DISTINCT p_type FROM part)
 UNION ALL SELECT 'tracking', 'rows', 0
 """
+ORACLES["file_documents"] = f"""
+SELECT 'kept' AS what, substr(p_brand, 7) AS name, count(*) AS n, CAST(sum(p_partkey) AS BIGINT) AS ids FROM part WHERE ({_REJECT}) IS NULL GROUP BY p_brand
+UNION ALL SELECT 'refused', {_REJECT}, count(*), 0 FROM part WHERE ({_REJECT}) IS NOT NULL GROUP BY ALL
+"""
 # Offers of one part share a text, so the SQL scores parts and expands them.
 ORACLES["similar_products_top10"] = """
 WITH offers AS (SELECT DISTINCT l_partkey AS product_id, l_suppkey AS seller_id FROM lineitem),

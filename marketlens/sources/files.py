@@ -24,17 +24,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-def scan_documents(spark: SparkSession, root: str, kind: str, pattern: str | None = None) -> DataFrame:
+def scan_documents(spark: SparkSession, root: str, kind: str, pattern: str | None = None, lines: bool = False) -> DataFrame:
     """One row per JSON document of ``kind`` below ``root``, with its path.
 
-    Documents are told by their file names; ``pattern`` stands in for the kind's own. A document that does not parse keeps its text in the corrupt-record column.
+    Documents are told by their file names; ``pattern`` stands in for the kind's own. A file is one document, or
+    with ``lines`` holds one in each line, as files of many documents do. A document that does not parse keeps its text in the corrupt-record column.
     """
     if kind not in DOCUMENT_KINDS:
         raise ValueError(f"unknown document kind {kind!r}; use one of {sorted(DOCUMENT_KINDS)}")
     texts = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern or DOCUMENT_KINDS[kind][0])
-        .text(root, wholetext=True)
+        .text(root, wholetext=not lines)
     )
     return parse_documents(texts.select(F.col("_metadata.file_path").alias("path"), "value"), "value", kind)
 
