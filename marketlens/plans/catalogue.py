@@ -17,6 +17,7 @@ from marketlens.schemas import LISTING_DOC, TRACKING_CSV, UNREAD, WAREHOUSE, Col
 from marketlens.session import fresh_path, staged
 from marketlens.sources import files
 from marketlens.sources.versions import read_current
+from marketlens.streaming import documents as doc_stream
 from marketlens.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -841,6 +842,30 @@ def stream_incremental_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return read_current(spark, f"{base}/users")
 
 
+@query
+def stream_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Product documents in two drops, good and bad, some of the first again in the second with another text:
+    rows of the loaded tables, documents refused by reason, products refused by reason."""
+    base = fresh_path(spark, "stream")
+    docs = staged(_product_documents(spark, sf), "docs")
+    again = docs.filter("p_partkey % 10 = 4").withColumn("doc", F.replace("doc", F.lit('"description":"About '), F.lit('"description":"Again ')))
+    for drop in (docs.filter("p_partkey % 2 = 0"), docs.filter("p_partkey % 2 = 1").unionByName(again)):
+        drop.select(F.col("doc").alias("value")).write.mode("append").text(f"{base}/in")
+        doc_stream.load_products(spark, f"{base}/in", f"{base}/shop", f"{base}/state")
+    stored = open_warehouse(spark, f"{base}/shop")
+    rows = profile.table_counts({t: stored[t] for t in ("categories", "sellers", "brands", "authors", "products")})
+    renewed = stored["products"].filter(F.startswith("description", F.lit("Again"))).agg(F.count(F.lit(1)).alias("n_rows"))
+    lost = doc_stream.refused_documents(spark, f"{base}/shop").groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    refused = read_rejects(spark, f"{base}/shop").filter("table_name = 'products'").groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    parts = [
+        rows.select(F.lit("stored").alias("what"), F.col("table_name").alias("name"), "n_rows"),
+        renewed.select(F.lit("renewed").alias("what"), F.lit("products").alias("name"), "n_rows"),
+        lost.select(F.lit("document").alias("what"), F.col("reason").alias("name"), "n_rows"),
+        refused.select(F.lit("product").alias("what"), F.col("reason").alias("name"), "n_rows"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 @query
 def stream_two_sources(spark: SparkSession, sf: str) -> DataFrame:
     """Two sources with checkpoints of their own upsert into one table, the odd events after the even ones."""

@@ -591,6 +591,17 @@ SELECT 'csv' AS format, count(*) AS n_rows, CAST(sum(c_custkey) AS BIGINT) AS ke
 UNION ALL SELECT 'json', count(*), CAST(sum(p_partkey) AS BIGINT), CAST(sum(length(p_name)) AS BIGINT) FROM part
 UNION ALL SELECT 'parquet', count(*), CAST(sum(s_suppkey) AS BIGINT), CAST(sum(length(s_name)) AS BIGINT) FROM supplier
 """
+ORACLES["stream_documents"] = f"""
+WITH g AS (SELECT *, len(string_split(p_name, ' ')) AS n_words FROM part WHERE ({_REJECT}) IS NULL)
+SELECT 'stored' AS what, 'categories' AS name, count(DISTINCT CASE WHEN p_size % 11 <> 5 THEN p_size END) AS n_rows FROM g
+UNION ALL SELECT 'stored', 'sellers', count(DISTINCT p_partkey % 10) FROM g WHERE p_partkey % 10 <> 0
+UNION ALL SELECT 'stored', 'brands', count(DISTINCT CASE WHEN p_size > 3 THEN substr(p_brand, 7) ELSE 'none' END) FROM g
+UNION ALL SELECT 'stored', 'authors', CAST(coalesce(sum(n_words), 0) AS BIGINT) FROM g WHERE p_size % 3 = 0
+UNION ALL SELECT 'stored', 'products', count(*) FROM g WHERE p_partkey % 10 <> 0
+UNION ALL SELECT 'renewed', 'products', count(*) FROM g WHERE p_partkey % 10 = 4
+UNION ALL SELECT 'document', {_REJECT}, CAST(sum(CASE WHEN p_partkey % 10 = 4 THEN 2 ELSE 1 END) AS BIGINT) FROM part WHERE ({_REJECT}) IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'product', 'no sellers', count(*) FROM g WHERE p_partkey % 10 = 0 HAVING count(*) > 0
+"""
 ORACLES["stream_incremental_upsert"] = """
 WITH ranked AS (
   SELECT event_id, user_id, event_type, value,

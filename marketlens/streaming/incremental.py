@@ -26,15 +26,21 @@ def run_available(
     checkpoint: str,
     fmt: str = "json",
     files_per_batch: int | None = None,
+    with_path: str | None = None,
     **options: str,
 ) -> None:
-    """Hand all files that are new since the last run to ``handle``, then stop."""
+    """Hand all files that are new since the last run to ``handle``, then stop.
+
+    ``with_path`` names a column for the file that a row comes from.
+    """
     reader = spark.readStream.schema(schema).format(fmt).options(**options)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    rows = reader.load(root)
+    if with_path:
+        rows = rows.select("*", F.col("_metadata.file_path").alias(with_path))
     query = (
-        reader.load(root)
-        .writeStream.foreachBatch(handle)
+        rows.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
