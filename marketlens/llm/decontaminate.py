@@ -198,7 +198,9 @@ def candidates(index: Index, text: Numbered, at: np.ndarray, which: np.ndarray,
     seen = np.unique(text.doc[at] * len(index.grams) + which)
     doc, gram = np.divmod(seen, len(index.grams))
     counts = index.bounds[gram + 1] - index.bounds[gram]
-    words, times = np.unique(text.doc * (len(index.vocabulary) + 1) + text.numbers, return_counts=True)
+    # Words of items in the texts that share an n-gram.
+    told = (text.numbers > 0) & np.bincount(doc, minlength=int(text.doc[-1]) + 1).astype(bool)[text.doc]
+    words, times = np.unique(text.doc[told] * (len(index.vocabulary) + 1) + text.numbers[told], return_counts=True)
     firsts = np.flatnonzero(np.diff(doc, prepend=-1))  # of the texts: one has at most as many entries as the index
     done, total = [np.zeros(0, np.int64)], np.concatenate([[0], np.cumsum(counts)])
     k = 0
