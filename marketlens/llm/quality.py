@@ -1,44 +1,45 @@
 """Quality classifier: random-indexing word vectors, pooled per document, under a small network.
 
-Random indexing. Every word has a sparse random index vector (from its hash); a word's context vector
-is the sum of the index vectors of the words near it. Words are counted in two forms, as written in
+Random indexing. Every word has a sparse random index vector; a word's context vector is the sum of the
+index vectors of the words near it, over all documents. Words are counted in two forms, as written in
 lower case and by shape ("Aa", "a#", "A!" ...), so that words never met still have the vector of
-their shape. A document is the mean of its words' vectors, with the number of words pooled and the
-share of them that differ.
+their shape. Either form is hashed to one of a fixed number of rows, so every word has a row, and tasks
+sum whole numbers by row, which gives the same vectors in whatever order they run. A document is the mean
+of its words' vectors, with the number of words pooled and the share of them that differ.
 
 A network with one hidden layer, written in numpy, is trained on the labelled sample; a temperature
 fitted on the part of the sample it was not trained on calibrates its probabilities.
 
-Vectors, network and temperature are fitted on a bounded sample of labelled documents; every text is
-then read whole. Documents without a word have the zero vector and the network's answer to it. With
-no labelled document every score is 0.5; if all labels agree, the network learns the constant. Null
-text counts as empty, null labels are left out, repeated rows repeat their score, an empty table gives
-an empty result, and other columns are never read.
+The vectors need no labels and come from all texts. Network and temperature are fitted on a bounded number
+of labelled documents, whose texts are pooled in tasks: the driver gets their numbers and never a text. Every
+text is read whole. Of several texts with one id the smallest is fitted on. Documents without a word have the
+zero vector and the network's answer to it. With no labelled document every score is 0.5; if all labels
+agree, the network learns the constant. Null text counts as empty, null labels are left out, repeated rows
+repeat their score, an empty table gives an empty result, and other columns are never read.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from marketlens.llm.common import FOLD, bounded_sample, column, mixed, slices, texts
+from marketlens.llm.common import FOLD, bounded_sample, mixed, slices, texts
 from marketlens.session import staged
 
 DIMENSIONS = 64
 NONZERO = 4  # entries of an index vector that are not 0
 WINDOW = 2  # words to either side that make a word's context
-VOCABULARY = 20_000  # words as written that get a vector, the most frequent of the sample
-SAMPLE_DOCS = 4000  # labelled documents that are fitted on, at most
-SAMPLE_BYTES = 64 << 20  # of their texts, at most
+WORD_ROWS, SHAPE_ROWS = 1 << 16, 1 << 12  # rows that words as written and shapes are hashed to
+CHUNK = 1 << 15  # words whose neighbours a task sums at a time
+SAMPLE_DOCS = 4000  # labelled documents that the network is fitted on, at most
 HIDDEN = 32
 EPOCHS = 200
 SEED = 7
@@ -51,33 +52,67 @@ _RUNS = re.compile(rb"(.)\1+", re.S)
 
 def shape(word: bytes) -> bytes:
     """Letters as A or a, digits as 0, and every run as one character."""
-    return b"\x00" + _RUNS.sub(rb"\1", word.translate(_SHAPE))[:12]
+    return _RUNS.sub(rb"\1", word.translate(_SHAPE))
 
 
-def index_vectors(tokens: list[bytes]) -> np.ndarray:
-    """Sparse vectors with ``NONZERO`` entries of +1 or -1, drawn from the tokens' hashes."""
-    out = np.zeros((len(tokens), DIMENSIONS), np.float32)
-    state = np.array([xxh3_64_intdigest(t) for t in tokens], np.uint64)
-    rows = np.arange(len(tokens))
+def rows_of(word: bytes) -> tuple[int, int]:
+    """Rows of a word as written and of its shape."""
+    return xxh3_64_intdigest(word.translate(FOLD)) % WORD_ROWS, WORD_ROWS + xxh3_64_intdigest(shape(word)) % SHAPE_ROWS
+
+
+@cache
+def index_vectors() -> np.ndarray:
+    """A sparse vector for every row, with ``NONZERO`` entries of +1 or -1."""
+    rows = np.arange(WORD_ROWS + SHAPE_ROWS)
+    out, state = np.zeros((len(rows), DIMENSIONS), np.int32), rows.astype(np.uint64)
     for _ in range(NONZERO):
         state = mixed(state + np.uint64(0x9E3779B97F4A7C15))
         out[rows, (state % np.uint64(DIMENSIONS)).astype(int)] += np.where(state >> np.uint64(63), 1, -1)
     return out
 
 
+def add_contexts(sums: np.ndarray, rows: np.ndarray) -> None:
+    """Adds the neighbours of the words of one text, given their two rows each, to ``sums``.
+
+    Long texts go piece by piece; a piece takes along the words around it, so no neighbour is lost.
+    """
+    index = index_vectors()
+    for at in range(0, len(rows), CHUNK):
+        low, end = max(0, at - WINDOW), min(len(rows), at + CHUNK)
+        around = rows[low : end + WINDOW]
+        both = index[around[:, 0]] + index[around[:, 1]]
+        near = np.zeros_like(both)
+        for d in range(1, WINDOW + 1):
+            near[d:] += both[:-d]
+            near[:-d] += both[d:]
+        near = near[at - low : end - low]
+        for side in (0, 1):
+            place = rows[at:end, side]
+            order = np.argsort(place, kind="stable")
+            firsts = np.flatnonzero(np.diff(place[order], prepend=-1))
+            sums[place[order[firsts]]] += np.add.reduceat(near[order], firsts, axis=0)
+
+
+class Rows(dict):
+    """Rows of the words met last, found once each."""
+
+    def __missing__(self, word: bytes) -> tuple[int, int]:
+        found = self[word] = rows_of(word)
+        return found
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > 300_000:
+            self.clear()
+        return np.array([self[w] for w in words], np.int64).reshape(-1, 2)
+
+
 @dataclass
 class Model:
-    words: dict[bytes, int]  # row of a word as written, or of a shape
     vectors: np.ndarray
     layers: list[np.ndarray] = field(default_factory=list)
     temperature: float = 1.0
 
-    def row_of(self, word: bytes) -> tuple[int, int]:
-        """Rows of the word and of its shape; the last row is zero."""
-        none = len(self.vectors) - 1
-        return self.words.get(word.translate(FOLD), none), self.words.get(shape(word), none)
-
-    def pooled(self, data: list[bytes], known: dict[bytes, tuple[int, int]]) -> np.ndarray:
+    def pooled(self, data: list[bytes], known: Rows) -> np.ndarray:
         """The mean of the vectors of a document's words and of their shapes, how many words there are
         and which share of them differ."""
         out = np.zeros((len(data), 2 * DIMENSIONS + 2), np.float32)
@@ -85,14 +120,8 @@ class Model:
             words = text.split()
             if not words:
                 continue
-            if len(known) > 300_000:
-                known.clear()
-            different = set(words)
-            for w in different:
-                if w not in known:
-                    known[w] = self.row_of(w)
-            out[i, -2:] = np.log1p(len(words)), len(different) / len(words)
-            rows = np.array([known[w] for w in words], np.int64)
+            out[i, -2:] = np.log1p(len(words)), len(set(words)) / len(words)
+            rows = known.of(words)
             for side in (0, 1):
                 at, n = np.unique(rows[:, side], return_counts=True)
                 out[i, side * DIMENSIONS : (side + 1) * DIMENSIONS] = n.astype(np.float32) @ self.vectors[at] / len(words)
@@ -108,33 +137,32 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -30, 30)))
 
 
-def train_vectors(data: list[bytes]) -> Model:
-    """Context vectors of the frequent words and of all shapes of the sample, at unit length."""
-    written, shapes = Counter(), Counter()
-    cut = [t.split() for t in data]
-    for words in cut:
-        written.update(w.translate(FOLD) for w in words)
-        shapes.update(map(shape, words))
-    top = [w for w, _ in sorted(written.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY]]
-    forms = [s for s, _ in sorted(shapes.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY]]
-    place = {t: i for i, t in enumerate(top + forms)}
-    none = len(place)
-    index = np.concatenate([index_vectors(top + forms), np.zeros((1, DIMENSIONS), np.float32)])
-    context = np.zeros_like(index)
-    for words in cut:
-        rows = [np.array([place.get(f(w), none) for w in words], np.int64) for f in (lambda w: w.translate(FOLD), shape)]
-        both = index[rows[0]] + index[rows[1]]
-        near = np.zeros_like(both)
-        for d in range(1, WINDOW + 1):
-            near[d:] += both[:-d]
-            near[:-d] += both[d:]
-        for r in rows:
-            np.add.at(context, r, near)
-    context = context / np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-9)
-    # A word's own index vector beside its context keeps words apart that stand in like contexts.
-    vectors = (context + index / np.sqrt(NONZERO)).astype(np.float32)
-    vectors[none] = 0
-    return Model(place, vectors)
+def vectors_of(sums: np.ndarray) -> np.ndarray:
+    """Context vectors at unit length beside the rows' own index vectors, which keep words apart that stand in
+    like contexts. A row without a context is zero."""
+    size = np.linalg.norm(sums, axis=1, keepdims=True)
+    vectors = sums / np.maximum(size, 1e-9) + index_vectors() / np.sqrt(NONZERO)
+    return np.where(size > 0, vectors, 0).astype(np.float32)
+
+
+def fit_vectors(docs: DataFrame, text: str = "text") -> Model:
+    """Word vectors from the contexts in all texts. A task sends one row of sums for each row that it met, and
+    the driver gets one row of sums for each row of the vectors, however many documents there are."""
+    names = [f"d{i}" for i in range(DIMENSIONS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, known = np.zeros((WORD_ROWS + SHAPE_ROWS, DIMENSIONS), np.int64), Rows()
+        for batch in slices(batches, text):
+            for data in texts(batch, text):
+                add_contexts(sums, known.of(data.split()))
+        met = np.flatnonzero(sums.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(met), *(pa.array(sums[met, i]) for i in range(DIMENSIONS))], names=["row", *names])
+
+    parts = docs.select(text).mapInArrow(run, ", ".join(f"{n} bigint" for n in ["row", *names]))
+    found = parts.groupBy("row").agg(*(F.sum(n).cast("float").alias(n) for n in names)).toArrow()
+    sums = np.zeros((WORD_ROWS + SHAPE_ROWS, DIMENSIONS))
+    sums[found["row"].to_numpy()] = np.stack([found[n].to_numpy() for n in names], axis=1)
+    return Model(vectors_of(sums))
 
 
 def train_network(model: Model, x: np.ndarray, y: np.ndarray) -> None:
@@ -173,36 +201,46 @@ def train_network(model: Model, x: np.ndarray, y: np.ndarray) -> None:
 
 
 def fit_model(docs: DataFrame, labels: DataFrame, train: Column, key: str = "doc_id", text: str = "text", label: str = "quality", most: int = SAMPLE_DOCS) -> Model:
-    """A model from at most ``most`` labelled rows where ``train`` holds, and ``SAMPLE_BYTES`` of their text.
+    """Word vectors of all documents, and a network from at most ``most`` labelled rows where ``train`` holds.
 
-    They are drawn by the hashes of their keys and go to the driver. A document with several labels counts by their mean.
+    The labelled rows are drawn by the hashes of their keys. A document with several labels counts by their mean.
     """
+    model = fit_vectors(docs, text)
     known = labels.filter(train & F.col(label).isNotNull()).groupBy(key).agg(F.avg(label).alias("label"))
     known = staged(bounded_sample(known, key, most), "labels")
-    found = staged(docs.select(key, text).join(F.broadcast(known), key).dropDuplicates([key]), "sample")
-    size, order = F.octet_length(F.coalesce(text, F.lit(""))), F.xxhash64(key)
-    before = W.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    rows = found.withColumn("_bytes", F.sum(size).over(before)).filter(F.col("_bytes") <= SAMPLE_BYTES).orderBy(order).limit(most).collect()
-    data = [(r[text] or "").encode() for r in rows]
-    model = train_vectors(data)
+    found = docs.select(key, text).join(F.broadcast(known), key).groupBy(key, "label").agg(F.min(text).alias("text"))
+    pooled = pooled_rows(found.select(F.xxhash64(key).alias("place"), F.col(key).alias("id"), "label", "text"), model)
+    rows = pooled.orderBy("place", "id").limit(most).collect()
     if rows:
-        train_network(model, model.pooled(data, {}), np.array([float(r["label"] >= 0.5) for r in rows]))
+        train_network(model, np.array([r["x"] for r in rows], np.float32), np.array([float(r["label"] >= 0.5) for r in rows]))
     return model
 
 
+def _per_text(kept: DataFrame, model: Model, added: str, values: Callable[[Model, np.ndarray], list[pa.Array]]) -> DataFrame:
+    """The columns of ``kept`` without its last, the text, and what ``values`` says of the pooled texts."""
+    shared = kept.sparkSession.sparkContext.broadcast(model)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
+    names = [*kept.columns[:-1], *(a.split()[0] for a in added.split(", "))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Rows()
+        for batch in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *values(shared.value, shared.value.pooled(texts(batch), known))], names=names)
+
+    return kept.mapInArrow(run, f"{fields}, {added}")
+
+
+def pooled_rows(kept: DataFrame, model: Model) -> DataFrame:
+    """``kept`` with the pooled vector ``x`` in place of the text, its last column."""
+    return _per_text(kept, model, "x array<float>", lambda _, x: [pa.array(list(x), pa.list_(pa.float32()))])
+
+
 def score_quality(docs: DataFrame, model: Model, keep: dict[str, Column] | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: key, the columns in ``keep``, probability of quality 1 and the answer."""
     kept = docs.select(F.col(key).alias("doc_id"), *(c.alias(n) for n, c in (keep or {}).items()), F.col(text).alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, tuple[int, int]] = {}
-        for batch in slices(batches, "text"):
-            score = shared.value.probabilities(shared.value.pooled(texts(batch, "text"), known))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(score, pa.float64()), pa.array(score >= 0.5).cast(pa.int32())],
-                names=[*batch.schema.names[:-1], "score", "predicted"],
-            )
+    def judged(model: Model, x: np.ndarray) -> list[pa.Array]:
+        score = model.probabilities(x)
+        return [pa.array(score, pa.float64()), pa.array(score >= 0.5).cast(pa.int32())]
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    return kept.mapInArrow(run, f"{fields}, score double, predicted int")
+    return _per_text(kept, model, "score double, predicted int", judged)

@@ -2,11 +2,13 @@
 
 import base64
 import hashlib
+import math
 import re
 import time
 import zlib
 from html import unescape
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -315,6 +317,53 @@ def test_quality_edges(spark, documents):
     assert quality.score_quality(docs.limit(0), model).collect() == []
 
 
+def test_word_vectors_equal_brute_force(spark, documents, monkeypatch):
+    data = ["the Cat sat\nthe cat", "x", "", "A1 b2 A1 b2 c3 " * 40, None]
+    sums = np.zeros((quality.WORD_ROWS + quality.SHAPE_ROWS, quality.DIMENSIONS))
+    index = quality.index_vectors()
+    for text in data:
+        rows = [quality.rows_of(w) for w in (text or "").encode().split()]
+        for i, own in enumerate(rows):
+            for j in range(max(0, i - quality.WINDOW), min(len(rows), i + quality.WINDOW + 1)):
+                if i != j:
+                    for row in own:
+                        sums[row] += index[rows[j][0]] + index[rows[j][1]]
+    want = quality.vectors_of(sums)
+    docs = documents(list(enumerate(data)))
+    assert np.allclose(quality.fit_vectors(docs).vectors, want, atol=1e-6)
+    assert (quality.fit_vectors(docs).vectors == quality.fit_vectors(docs.coalesce(1)).vectors).all()
+    for chunk in (1, 7):
+        monkeypatch.setattr(quality, "CHUNK", chunk)
+        pieces = np.zeros_like(sums, dtype=np.int64)
+        for text in data:
+            quality.add_contexts(pieces, quality.Rows().of((text or "").encode().split()))
+        assert (pieces == sums).all()
+
+
+def test_pooled_vectors_and_scores_equal_brute_force(spark, documents):
+    data = ["the Cat sat on the mat", "", None, "BAD!! ### x9", "plain words here"]
+    docs = documents(list(enumerate(data)))
+    model = quality.fit_model(docs, spark.createDataFrame([(0, 1), (3, 0)], "doc_id long, quality int"), F.lit(True))
+    x = np.zeros((len(data), 2 * quality.DIMENSIONS + 2))
+    for i, text in enumerate(data):
+        words = (text or "").encode().split()
+        for w in words:
+            for side, row in enumerate(quality.rows_of(w)):
+                x[i, side * quality.DIMENSIONS : (side + 1) * quality.DIMENSIONS] += model.vectors[row] / len(words)
+        if words:
+            x[i, -2:] = math.log1p(len(words)), len(set(words)) / len(words)
+    want = model.probabilities(x)
+    got = {r.doc_id: r for r in quality.score_quality(docs, model).collect()}
+    assert all(abs(got[i].score - want[i]) < 1e-5 and got[i].predicted == int(got[i].score >= 0.5) for i in range(len(data)))
+
+
+def test_a_very_long_text_leaves_the_other_labelled_rows_in(spark, documents):
+    rows = [(i, f"good plain words {i} here and there") for i in range(20)] + [(20 + i, f"BAD{i}!! ###") for i in range(20)]
+    labels = spark.createDataFrame([(i, int(i < 20)) for i in range(41)], "doc_id long, quality int")
+    model = quality.fit_model(documents([*rows, (40, "#### " * 4_000_000)]), labels, F.lit(True))
+    assert all(r.predicted == int(r.doc_id < 20) for r in quality.score_quality(documents(rows), model).collect())
+
+
 # --- archives -------------------------------------------------------------------------------------
 
 
