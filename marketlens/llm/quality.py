@@ -31,14 +31,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from marketlens.llm.common import FOLD, bounded_sample, mixed, slices, texts
+from marketlens.llm.common import FOLD, Known, bounded_sample, mixed, slices, texts
 from marketlens.session import staged
 
 DIMENSIONS = 64
 NONZERO = 4  # entries of an index vector that are not 0
 WINDOW = 2  # words to either side that make a word's context
 WORD_ROWS, SHAPE_ROWS = 1 << 16, 1 << 12  # rows that words as written and shapes are hashed to
-CHUNK = 1 << 15  # words whose neighbours a task sums at a time
+CHUNK = 1 << 13  # words whose neighbours a task sums at a time
+_LOW = (1 << 32) - 1
+GAP = (WORD_ROWS + SHAPE_ROWS) * (1 | 1 << 32)  # stands between texts: no row, and no vector for its neighbours
 SAMPLE_DOCS = 4000  # labelled documents that the network is fitted on, at most
 HIDDEN = 32
 EPOCHS = 200
@@ -71,39 +73,52 @@ def index_vectors() -> np.ndarray:
     return out
 
 
-def add_contexts(sums: np.ndarray, rows: np.ndarray) -> None:
-    """Adds the neighbours of the words of one text, given their two rows each, to ``sums``.
+@cache
+def _near_vectors() -> np.ndarray:
+    """The index vectors in small numbers, and a zero one for gaps between texts."""
+    return np.concatenate([index_vectors(), np.zeros((1, DIMENSIONS), np.int32)]).astype(np.int16)
+
+
+def _add_rows(sums: np.ndarray, rows: np.ndarray, parts: np.ndarray) -> None:
+    order = np.argsort(rows, kind="stable")
+    firsts = np.flatnonzero(np.diff(rows[order], prepend=-1))
+    sums[rows[order[firsts]]] += np.add.reduceat(parts[order], firsts, axis=0, dtype=np.int32)
+
+
+def add_contexts(sums: np.ndarray, codes: np.ndarray) -> None:
+    """Adds the neighbours of the words of one text, or of texts with gaps between them, to ``sums``.
 
-    Long texts go piece by piece; a piece takes along the words around it, so no neighbour is lost.
+    Words go piece by piece; a piece takes along the words around it, so no neighbour is lost. Equal words are
+    added up first, then the words of a row.
     """
-    index = index_vectors()
-    for at in range(0, len(rows), CHUNK):
-        low, end = max(0, at - WINDOW), min(len(rows), at + CHUNK)
-        around = rows[low : end + WINDOW]
-        both = index[around[:, 0]] + index[around[:, 1]]
+    index = _near_vectors()
+    for at in range(0, len(codes), CHUNK):
+        low, end = max(0, at - WINDOW), min(len(codes), at + CHUNK)
+        around = codes[low : end + WINDOW]
+        both = index[around & _LOW] + index[around >> 32]
         near = np.zeros_like(both)
         for d in range(1, WINDOW + 1):
             near[d:] += both[:-d]
             near[:-d] += both[d:]
-        near = near[at - low : end - low]
-        for side in (0, 1):
-            place = rows[at:end, side]
-            order = np.argsort(place, kind="stable")
-            firsts = np.flatnonzero(np.diff(place[order], prepend=-1))
-            sums[place[order[firsts]]] += np.add.reduceat(near[order], firsts, axis=0)
+        words, place = np.unique(codes[at:end], return_inverse=True)
+        parts = np.zeros((len(words), DIMENSIONS), np.int32)
+        _add_rows(parts, place, near[at - low : end - low])
+        known = words != GAP
+        for rows in (words[known] & _LOW, words[known] >> 32):
+            if len(rows):
+                _add_rows(sums, rows, parts[known])
 
 
-class Rows(dict):
-    """Rows of the words met last, found once each."""
+class Rows(Known):
+    """Both rows of the words met last, packed into one number and found once each."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
-        found = self[word] = rows_of(word)
-        return found
+    def __init__(self):
+        super().__init__(lambda word: (r := rows_of(word))[0] | r[1] << 32)
 
     def of(self, words: list[bytes]) -> np.ndarray:
         if len(self) > 300_000:
             self.clear()
-        return np.array([self[w] for w in words], np.int64).reshape(-1, 2)
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
 @dataclass
@@ -121,10 +136,10 @@ class Model:
             if not words:
                 continue
             out[i, -2:] = np.log1p(len(words)), len(set(words)) / len(words)
-            rows = known.of(words)
-            for side in (0, 1):
-                at, n = np.unique(rows[:, side], return_counts=True)
-                out[i, side * DIMENSIONS : (side + 1) * DIMENSIONS] = n.astype(np.float32) @ self.vectors[at] / len(words)
+            at, n = np.unique(known.of(words), return_counts=True)
+            share = n.astype(np.float32) / len(words)
+            out[i, :DIMENSIONS] = share @ self.vectors[at & _LOW]
+            out[i, DIMENSIONS:-2] = share @ self.vectors[at >> 32]
         return out
 
     def logits(self, x: np.ndarray) -> np.ndarray:
@@ -152,9 +167,16 @@ def fit_vectors(docs: DataFrame, text: str = "text") -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, known = np.zeros((WORD_ROWS + SHAPE_ROWS, DIMENSIONS), np.int64), Rows()
+        gap, held, n = np.full(WINDOW, GAP), [], 0
         for batch in slices(batches, text):
             for data in texts(batch, text):
-                add_contexts(sums, known.of(data.split()))
+                held += [known.of(data.split()), gap]
+                n += len(held[-2])
+                if n >= CHUNK:
+                    add_contexts(sums, np.concatenate(held))
+                    held, n = [], 0
+        if held:
+            add_contexts(sums, np.concatenate(held))
         met = np.flatnonzero(sums.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(met), *(pa.array(sums[met, i]) for i in range(DIMENSIONS))], names=["row", *names])
 
