@@ -891,3 +891,14 @@ def stream_skip_known(spark: SparkSession, sf: str) -> DataFrame:
         files.write_json(drop, f"{base}/in/drop{i}")
         incremental.run_available(spark, f"{base}/in", drop.schema, take, f"{base}/state", recursiveFileLookup="true")
     return spark.read.option("recursiveFileLookup", True).parquet(f"{base}/taken")
+
+
+@query
+def stream_new_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Events in two drops, with a restart between them: every user once, with the drop that first names the user."""
+    base = fresh_path(spark, "stream")
+    for i, drop in enumerate(_drops(spark, sf, "event_type = 'signup'")):
+        named = drop.select("user_id", F.lit(i).alias("drop_no"))
+        files.write_json(named, f"{base}/in/drop{i}")
+        incremental.new_keys_stored(spark, f"{base}/in", named.schema, ["user_id"], f"{base}/users", f"{base}/state", recursiveFileLookup="true")
+    return spark.read.parquet(f"{base}/users")

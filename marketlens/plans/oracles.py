@@ -618,6 +618,10 @@ WITH ranked AS (
 )
 SELECT event_id, user_id, event_type, value FROM ranked WHERE r = 1
 """
+ORACLES["stream_new_keys"] = """
+SELECT user_id, CAST(min(CASE WHEN event_type = 'signup' THEN 0 ELSE 1 END) AS INTEGER) AS drop_no
+FROM events WHERE user_id IS NOT NULL GROUP BY user_id
+"""
 ORACLES["stream_skip_known"] = """
 WITH ranked AS (
   SELECT event_id, user_id, event_type, value,

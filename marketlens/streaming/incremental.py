@@ -102,6 +102,19 @@ def new_keys_only(
     return run
 
 
+def new_keys_stored(spark: SparkSession, root: str, schema: T.StructType | str, keys: Sequence[str], out: str, checkpoint: str, fmt: str = "json", **options: str) -> None:
+    """Adds the rows of files that are new since the last run to ``out``, one for each key never seen before, then stops.
+
+    The keys known so far are kept by Spark in the state store of the checkpoint, partitioned by key, so a batch
+    reads no older key from a table, and a restarted run goes on where the last one stopped. Of several rows of
+    a new key in one batch any is taken: they should agree in what is kept. Rows without a whole key are left out.
+    """
+    rows = spark.readStream.schema(schema).format(fmt).options(**options).load(root)
+    first = keyed(rows, keys)[0].dropDuplicates(list(keys))
+    query = first.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
+    query.awaitTermination()
+
+
 def track(tracking: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Candidates not tracked yet, each whole key once, and the tracking table with them added."""
     fresh = keep_one(unknown(keyed(candidates, keys)[0], tracking, keys, unique=True), keys)

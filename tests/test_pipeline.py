@@ -329,3 +329,16 @@ def test_values_of_other_types_are_read_or_reported(spark):
     assert rows["b"]["_unread"] == ["id", "breadcrumbs", "authors[]", "review_count"] and rows["b"]["_missing"] == ["id", "name"]
     assert [rows[k]["reason"] for k in "cdfg"] == ["unreadable", "unreadable", None, "no category"]
     assert rows["e"]["reason"] == "no category" and rows["f"]["authors"][0]["id"] is None
+
+
+def test_new_keys_are_kept_by_the_state_store_over_restarts(spark, tmp_path):
+    schema = "k bigint, v string"
+
+    def drop(name, rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.json(str(tmp_path / "in" / name))
+        incremental.new_keys_stored(spark, str(tmp_path / "in"), schema, ["k"], str(tmp_path / "out"), str(tmp_path / "state"), recursiveFileLookup="true")
+        return sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert drop("a", [(1, "a"), (1, "a"), (2, "a"), (None, "a")]) == [(1, "a"), (2, "a")]
+    assert drop("b", [(2, "b"), (3, "b"), (None, "b")]) == [(1, "a"), (2, "a"), (3, "b")]
+    assert drop("c", [(1, "c"), (3, "c")]) == [(1, "a"), (2, "a"), (3, "b")]
