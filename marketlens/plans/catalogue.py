@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from marketlens.functions import cleaning as C
 from marketlens.functions import display as X
 from marketlens.functions import text as TX
-from marketlens.operators import checks, collab, documents, keys, load, profile, serving, similarity, terms
+from marketlens.operators import checks, collab, documents, keys, load, phrases, profile, serving, similarity, terms, text_index
 from marketlens.plans import gold, recommend, silver, star
 from marketlens.plans.warehouse import load_table, load_warehouse, open_warehouse, read_rejects
 from marketlens.schemas import LISTING_DOC, TRACKING_CSV, UNREAD, WAREHOUSE, Column, TableSpec
 from marketlens.session import fresh_path, staged
 from marketlens.sources import files
+from marketlens.sources.partitioned import read_partitioned
 from marketlens.sources.versions import read_current
 from marketlens.streaming import documents as doc_stream
 from marketlens.streaming import incremental
@@ -30,6 +31,8 @@ STOP_WORDS = [
     "la", "le", "les", "et", "un", "une", "du", "en", "que", "qui", "dans", "pour", "avec", "au", "pas", "sur",
     "el", "los", "las", "por", "con", "para", "se", "del", "como", "su", "al", "lo",
 ]
+# Joined words that are left out of the vocabulary with joined words.
+STOP_PHRASES = ["of_the", "in_the", "de_la"]
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -635,6 +638,33 @@ def tfidf_documented(spark: SparkSession, sf: str) -> DataFrame:
     return weights.select("doc_id", "token", F.round("weight", 6).alias("weight"))
 
 
+@query
+def phrase_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of tokens of all documents that stand side by side far more often than by chance."""
+    return phrases.pair_table(star.table(spark, sf, "documents"), F.col("text"), 20, 5.0)
+
+
+@query
+def phrase_vocab(spark: SparkSession, sf: str) -> DataFrame:
+    """Vocabulary of all documents with joined words, of which ``STOP_PHRASES`` are stop words too."""
+    docs = star.table(spark, sf, "documents")
+    pairs = staged(phrases.pair_table(docs, F.col("text"), 20, 5.0), "pairs")
+    return terms.vocabulary(phrases.phrase_counts(docs, ["doc_id"], F.col("text"), pairs), [*STOP_WORDS, *STOP_PHRASES])
+
+
+@query
+def index_by_drops(spark: SparkSession, sf: str) -> DataFrame:
+    """Weights of an index to which the documents came in three loads, the last of which replaces texts of both others."""
+    base, docs = fresh_path(spark, "text-index"), star.table(spark, sf, "documents").select("doc_id", "text")
+    late = F.col("doc_id") % 7 == 0
+    early = docs.withColumn("text", F.when(late, F.reverse("text")).otherwise(F.col("text")))
+    drops = [early.filter(F.col("doc_id") % 2 == 0), early.filter(F.col("doc_id") % 2 == 1), docs.filter(late)]
+    for i, drop in enumerate(drops):
+        text_index.add_drop(drop, base, ["doc_id"], F.col("text"), i)
+    weights = text_index.current_weights(spark, base, [("doc_id", docs.schema["doc_id"].dataType)], STOP_WORDS)
+    return weights.select("doc_id", "token", "df", F.round("weight", 6).alias("weight"))
+
+
 @query
 def search_top10(spark: SparkSession, sf: str) -> DataFrame:
     """All benchmark texts searched in all documents."""
@@ -842,6 +872,17 @@ def stream_incremental_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return read_current(spark, f"{base}/users")
 
 
+@query
+def stream_partition_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Events in two drops; the last event of every user so far is kept in a table partitioned by buckets of the key."""
+    base = fresh_path(spark, "stream")
+    upsert = incremental.upsert_partition_batches(f"{base}/users", ["user_id"], [F.desc("event_id")], 8)
+    for i, drop in enumerate(_drops(spark, sf, "event_type <> 'purchase'")):
+        files.write_json(drop, f"{base}/in/drop{i}")
+        incremental.run_available(spark, f"{base}/in", drop.schema, upsert, f"{base}/state", recursiveFileLookup="true")
+    return read_partitioned(spark, f"{base}/users")
+
+
 @query
 def stream_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Product documents in two drops, good and bad, some of the first again in the second with another text:

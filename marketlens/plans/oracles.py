@@ -5,7 +5,7 @@ The ALS queries have none: their result is not expressible in SQL.
 
 from __future__ import annotations
 
-from marketlens.plans.catalogue import STOP_WORDS, TABLES
+from marketlens.plans.catalogue import STOP_PHRASES, STOP_WORDS, TABLES
 from marketlens.plans.star import CATEGORY_TITLES, JOINED_TEXTS, WARRANTY_TEXTS
 
 
@@ -654,3 +654,42 @@ UNION ALL SELECT 'products_authors', 'no products; no authors', count(*) FROM ({
 UNION ALL SELECT 'users', '', count(DISTINCT user_id) FROM events WHERE event_id % 7 <> 0
 UNION ALL SELECT 'users', 'no key', count(*) FROM events WHERE event_id % 7 = 0 OR user_id IS NULL
 """
+ORACLES["stream_partition_upsert"] = ORACLES["stream_incremental_upsert"]
+ORACLES["index_by_drops"] = f"WITH {_INDEX} SELECT doc_id, token, df, round(weight, 6) AS weight FROM weights"
+
+_PHRASES = f"""
+lists AS (SELECT doc_id, list_filter(string_split_regex({_normal("text")}, '\\s+'), lambda x: x <> '') AS t FROM documents),
+places AS (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM lists),
+neighbours AS (SELECT doc_id, pos, token AS a, lead(token) OVER (PARTITION BY doc_id ORDER BY pos) AS b FROM places),
+single AS (SELECT token, count(*) AS m FROM places GROUP BY token),
+chance AS (
+  SELECT p.a, p.b, p.n, round(log2(p.n * CAST((SELECT sum(m) FROM single) AS DOUBLE) / (CAST(x.m AS DOUBLE) * y.m)), 6) AS pmi
+  FROM (SELECT a, b, count(*) AS n FROM neighbours WHERE b IS NOT NULL GROUP BY a, b HAVING count(*) >= 20) p
+  JOIN single x ON x.token = p.a JOIN single y ON y.token = p.b
+),
+pairs AS (SELECT a, b, n, pmi FROM chance WHERE pmi >= 5)
+"""
+ORACLES["phrase_table"] = f"WITH {_PHRASES} SELECT a, b, n, pmi FROM pairs"
+ORACLES["phrase_vocab"] = f"""
+WITH {_PHRASES},
+found AS (
+  SELECT doc_id, pos, a, b, pos - row_number() OVER w AS run, coalesce(lead(pos) OVER w > pos + 1, true) AS last
+  FROM neighbours SEMI JOIN pairs USING (a, b) WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+),
+placed AS (SELECT *, pos - min(pos) OVER (PARTITION BY doc_id, run) AS o FROM found),
+parts AS (
+  SELECT doc_id, run, o, a AS token FROM placed
+  UNION ALL SELECT doc_id, run, o + 1, b FROM placed WHERE last
+),
+cut AS (
+  SELECT doc_id, run, o // 3 AS w, string_agg(token, '_' ORDER BY o) AS word FROM parts GROUP BY ALL HAVING count(*) > 1
+),
+changes AS (
+  SELECT doc_id, token, count(*) AS tf FROM places GROUP BY ALL
+  UNION ALL SELECT doc_id, word, 1 FROM cut
+  UNION ALL SELECT p.doc_id, p.token, -1 FROM parts p SEMI JOIN cut c ON c.doc_id = p.doc_id AND c.run = p.run AND c.w = p.o // 3
+),
+counted AS (SELECT doc_id, token FROM changes GROUP BY ALL HAVING sum(tf) > 0)
+SELECT token, count(*) AS df FROM counted WHERE token NOT IN (SELECT unnest({_list([*STOP_WORDS, *STOP_PHRASES])}))
+GROUP BY token HAVING count(*) >= 2
+"""

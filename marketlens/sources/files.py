@@ -24,6 +24,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def partition_folders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the ``column=value`` folders directly below ``path``, none if it is not there."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(jvm_path)] if fs.exists(jvm_path) else []
+    return [p.toString() for p in found if "=" in p.getName()]
+
+
 def scan_documents(spark: SparkSession, root: str, kind: str, pattern: str | None = None, lines: bool = False) -> DataFrame:
     """One row per JSON document of ``kind`` below ``root``, with its path.
 

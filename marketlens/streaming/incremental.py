@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from marketlens.operators.keys import append_rows, keep_one, keyed, unknown
 from marketlens.session import staged
 from marketlens.sources.files import path_exists
+from marketlens.sources.partitioned import upsert_partitions
 from marketlens.sources.versions import BUCKETS, is_loaded, publish_upsert
 
 
@@ -136,3 +137,17 @@ def upsert_batches(base: str, keys: Sequence[str], order: Sequence[Column], stre
             publish_upsert(keep_one(whole, keys, order), base, keys, tag)
 
     return run
+
+
+def upsert_partition_batches(path: str, keys: Sequence[str], order: Sequence[Column], buckets: int) -> Callable[[DataFrame, int], None]:
+    """Batch handler that upserts the first row per key in ``order`` into the partitioned table at ``path``.
+
+    The checkpoint says which batch is next, so only the last one can come again, and it replaces its own work.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        whole, lacking = keyed(batch, keys)
+        refuse(lacking, f"{path}-refused", str(batch_id))
+        upsert_partitions(keep_one(whole, keys, order), path, keys, buckets, str(batch_id))
+
+    return run
