@@ -16,6 +16,7 @@ from marketlens.plans.warehouse import load_table, load_warehouse, open_warehous
 from marketlens.schemas import LISTING_DOC, TRACKING_CSV, UNREAD, WAREHOUSE, Column, TableSpec
 from marketlens.session import fresh_path, staged
 from marketlens.sources import files
+from marketlens.sources.bucketed import write_bucketed
 from marketlens.sources.partitioned import read_partitioned
 from marketlens.sources.versions import read_current
 from marketlens.streaming import documents as doc_stream
@@ -355,6 +356,20 @@ def incremental_skip(spark: SparkSession, sf: str) -> DataFrame:
     return tracking
 
 
+@query
+def bucketed_existence(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders per priority of customers of one market segment and of customers outside it, from tables bucketed by customer."""
+    base = fresh_path(spark, "bucketed")
+    label = base.rsplit("-", 1)[1]
+    orders = star.table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
+    customers = star.table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    orders = write_bucketed(orders, f"orders_{label}", f"{base}/orders", ["o_custkey"], 16)
+    customers = write_bucketed(customers, f"customers_{label}", f"{base}/customers", ["o_custkey"], 16)
+    inside = keys.existing(orders, customers, ["o_custkey"], unique=True).withColumn("inside", F.lit(True))
+    outside = keys.unknown(orders, customers, ["o_custkey"], unique=True).withColumn("inside", F.lit(False))
+    return inside.unionByName(outside).groupBy("inside", "o_orderpriority").agg(F.count(F.lit(1)).alias("n_orders"))
+
+
 @query
 def upsert_customers(spark: SparkSession, sf: str) -> DataFrame:
     target = star.table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")

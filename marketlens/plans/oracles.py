@@ -693,3 +693,8 @@ counted AS (SELECT doc_id, token FROM changes GROUP BY ALL HAVING sum(tf) > 0)
 SELECT token, count(*) AS df FROM counted WHERE token NOT IN (SELECT unnest({_list([*STOP_WORDS, *STOP_PHRASES])}))
 GROUP BY token HAVING count(*) >= 2
 """
+ORACLES["bucketed_existence"] = """
+SELECT coalesce(o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'), false) AS inside,
+  o_orderpriority, count(*) AS n_orders
+FROM orders GROUP BY ALL
+"""

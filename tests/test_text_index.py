@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlens.operators import phrases, terms, text_index
+from marketlens.operators import keys, phrases, terms, text_index
 from marketlens.session import fresh_path
+from marketlens.sources.bucketed import drop_bucketed, write_bucketed
 from marketlens.sources.files import partition_folders
 from marketlens.sources.partitioned import read_partitioned, upsert_partitions
 from marketlens.streaming import incremental
@@ -136,3 +137,16 @@ def test_stream_upserts_partitions_and_refuses_null_keys(spark):
     assert sorted(tuple(r) for r in read_partitioned(spark, f"{base}/t").collect()) == [(1, 3, "x"), (2, 1, "c")]
     refused = incremental.read_refused(spark, f"{base}/t", batch.schema)
     assert sorted(r["v"] for r in refused.collect()) == ["m", "n"]
+
+
+def test_existence_tests_on_bucketed_tables_move_nothing(spark):
+    path = fresh_path(spark, "bucketed")
+    big = spark.range(300).selectExpr("if(id % 50 = 0, null, id % 40) as k", "id as v")
+    small = spark.range(0, 60, 3).toDF("k")
+    a, b = (write_bucketed(df, f"{n}_test_bucketed", f"{path}/{n}", ["k"], 8) for n, df in (("a", big), ("b", small)))
+    for test in (keys.existing, keys.unknown):
+        got = test(a.hint("merge"), b.hint("merge"), ["k"], unique=True)
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(got.collect(), key=str) == sorted(test(big, small, ["k"]).collect(), key=str)
+    for n in "ab":
+        drop_bucketed(spark, f"{n}_test_bucketed")
