@@ -52,72 +52,76 @@ _SHAPE = bytes(
 _RUNS = re.compile(rb"(.)\1+", re.S)
 
 
-def shape(word: bytes) -> bytes:
-    """Letters as A or a, digits as 0, and every run as one character."""
-    return _RUNS.sub(rb"\1", word.translate(_SHAPE))
+def _shape_row(letters: bytes) -> int:
+    """Row of a shape, given a word with letters as A or a and digits as 0: every run counts as one character."""
+    return WORD_ROWS + xxh3_64_intdigest(_RUNS.sub(rb"\1", letters)) % SHAPE_ROWS
 
 
 def rows_of(word: bytes) -> tuple[int, int]:
     """Rows of a word as written and of its shape."""
-    return xxh3_64_intdigest(word.translate(FOLD)) % WORD_ROWS, WORD_ROWS + xxh3_64_intdigest(shape(word)) % SHAPE_ROWS
+    return xxh3_64_intdigest(word.translate(FOLD)) % WORD_ROWS, _shape_row(word.translate(_SHAPE))
 
 
 @cache
-def index_vectors() -> np.ndarray:
-    """A sparse vector for every row, with ``NONZERO`` entries of +1 or -1."""
-    rows = np.arange(WORD_ROWS + SHAPE_ROWS)
-    out, state = np.zeros((len(rows), DIMENSIONS), np.int32), rows.astype(np.uint64)
-    for _ in range(NONZERO):
+def _entries() -> tuple[np.ndarray, np.ndarray]:
+    """Dimensions and signs of the entries of every row's index vector; all signs are 0 for gaps between texts."""
+    dims, signs = (np.zeros((WORD_ROWS + SHAPE_ROWS + 1, NONZERO), kind) for kind in (np.int64, np.float64))
+    state = np.arange(WORD_ROWS + SHAPE_ROWS, dtype=np.uint64)
+    for i in range(NONZERO):
         state = mixed(state + np.uint64(0x9E3779B97F4A7C15))
-        out[rows, (state % np.uint64(DIMENSIONS)).astype(int)] += np.where(state >> np.uint64(63), 1, -1)
-    return out
+        dims[:-1, i], signs[:-1, i] = state % np.uint64(DIMENSIONS), np.where(state >> np.uint64(63), 1, -1)
+    return dims, signs
 
 
 @cache
-def _near_vectors() -> np.ndarray:
-    """The index vectors in small numbers, and a zero one for gaps between texts."""
-    return np.concatenate([index_vectors(), np.zeros((1, DIMENSIONS), np.int32)]).astype(np.int16)
-
-
-def _add_rows(sums: np.ndarray, rows: np.ndarray, parts: np.ndarray) -> None:
-    order = np.argsort(rows, kind="stable")
-    firsts = np.flatnonzero(np.diff(rows[order], prepend=-1))
-    sums[rows[order[firsts]]] += np.add.reduceat(parts[order], firsts, axis=0, dtype=np.int32)
+def index_vectors() -> np.ndarray:
+    """A sparse vector for every row, with ``NONZERO`` entries of +1 or -1."""
+    dims, signs = (part[:-1] for part in _entries())
+    out = np.zeros((len(dims), DIMENSIONS), np.int32)
+    np.add.at(out, (np.arange(len(dims))[:, None], dims), signs.astype(np.int32))
+    return out
 
 
 def add_contexts(sums: np.ndarray, codes: np.ndarray) -> None:
     """Adds the neighbours of the words of one text, or of texts with gaps between them, to ``sums``.
 
-    Words go piece by piece; a piece takes along the words around it, so no neighbour is lost. Equal words are
-    added up first, then the words of a row.
+    Words go piece by piece; a piece takes along the words around it, so no neighbour is lost. An index vector has few
+    entries, so they are counted by row and dimension, and no vector of a word's neighbours is formed.
     """
-    index = _near_vectors()
+    dims, signs = _entries()
     for at in range(0, len(codes), CHUNK):
         low, end = max(0, at - WINDOW), min(len(codes), at + CHUNK)
         around = codes[low : end + WINDOW]
-        both = index[around & _LOW] + index[around >> 32]
-        near = np.zeros_like(both)
-        for d in range(1, WINDOW + 1):
-            near[d:] += both[:-d]
-            near[:-d] += both[d:]
-        words, place = np.unique(codes[at:end], return_inverse=True)
-        parts = np.zeros((len(words), DIMENSIONS), np.int32)
-        _add_rows(parts, place, near[at - low : end - low])
-        known = words != GAP
-        for rows in (words[known] & _LOW, words[known] >> 32):
-            if len(rows):
-                _add_rows(sums, rows, parts[known])
+        forms = np.stack([around & _LOW, around >> 32], axis=1)
+        near, sign = (part[forms].reshape(len(around), -1) for part in (dims, signs))
+        # Pairs of a word of the piece and a neighbour, as their places in it.
+        words = np.arange(at - low, end - low)
+        pairs = [(mine, mine + d) for d in range(-WINDOW, WINDOW + 1) if d for mine in [words[(words + d >= 0) & (words + d < len(around))]]]
+        mine, other = (np.concatenate(x) for x in zip(*pairs))
+        near, sign = near[other], sign[other].ravel()
+        for form in (0, 1):
+            rows, place = np.unique(forms[:, form], return_inverse=True)
+            key = place[mine, None] * DIMENSIONS + near
+            parts = np.bincount(key.ravel(), sign, len(rows) * DIMENSIONS).reshape(-1, DIMENSIONS)
+            known = rows < len(sums)
+            sums[rows[known]] += parts[known].astype(sums.dtype)
 
 
 class Rows(Known):
-    """Both rows of the words met last, packed into one number and found once each."""
+    """Both rows of the words met last, packed into one number and found once each.
+
+    Many words share their letters' kinds, so rows of shapes are found once for each of these.
+    """
 
     def __init__(self):
-        super().__init__(lambda word: (r := rows_of(word))[0] | r[1] << 32)
+        shapes = self.shapes = Known(_shape_row)
+        super().__init__(lambda word: xxh3_64_intdigest(word.translate(FOLD)) % WORD_ROWS | shapes[word.translate(_SHAPE)] << 32)
 
     def of(self, words: list[bytes]) -> np.ndarray:
         if len(self) > 300_000:
             self.clear()
+        if len(self.shapes) > 50_000:
+            self.shapes.clear()
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 

@@ -303,6 +303,16 @@ def test_quality_held_out_accuracy(spark, larger):
     assert sum(held) >= 0.97 * len(held)
 
 
+def test_quality_rows_of_shapes_are_found_once(monkeypatch):
+    """Words of equal kinds of letters share one look-up, and every word has the rows that it has by itself."""
+    asked, own = [], quality._shape_row
+    monkeypatch.setattr(quality, "_shape_row", lambda letters: asked.append(letters) or own(letters))
+    words = [w.encode() for i in range(300) for w in (f"wort{100 + i}", f"Wort{100 + i},", "ÄÖ")]
+    codes = quality.Rows().of(words)
+    assert sorted(asked) == sorted({b"aaaa000", b"Aaaa000,", b"aaaa"})
+    assert [(c & quality._LOW, c >> 32) for c in codes.tolist()] == [quality.rows_of(w) for w in words]
+
+
 def test_quality_edges(spark, documents):
     rows = [(i, f"good plain words {i} here and there") for i in range(20)] + [(20 + i, f"BAD{i}!! ###") for i in range(20)]
     labels = spark.createDataFrame([(i, int(i < 20)) for i in range(40)] + [(40, None), (None, 1)], "doc_id long, quality int")
