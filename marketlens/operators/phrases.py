@@ -3,6 +3,9 @@
 A table of pairs is counted over all texts. A run of tokens in which every neighbouring two are a pair of the
 table is read from its left as words of up to ``most`` tokens joined by ``_``; a token left over at its end stays
 a word of its own. Null and empty texts have no tokens; an empty table leaves all counts as they are.
+
+Texts are normalised once for each step that reads them; for several steps :func:`stored_tokens` does it once for all,
+as every ``text`` may hold tokens instead.
 """
 
 from __future__ import annotations
@@ -12,15 +15,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.functions.text import normalize_text, words
+from marketlens.functions.text import tokens_of
 from marketlens.operators.terms import term_counts
+from marketlens.session import staged
 
 JOINT = "_"
 
 
+def stored_tokens(docs: DataFrame, keys: Sequence[str], text: Column) -> DataFrame:
+    """(keys, tokens) of every text, written once to the shared folder."""
+    return staged(docs.select(*keys, tokens_of(docs, text).alias("tokens")), "tokens")
+
+
 def _pairs(docs: DataFrame, keys: Sequence[str], text: Column) -> DataFrame:
     """(keys, pos, a, b) for every two neighbouring tokens, ``pos`` the place of the first."""
-    tokens = docs.select(*keys, words(normalize_text(text)).alias("_t"))
+    tokens = docs.select(*keys, tokens_of(docs, text).alias("_t"))
     pairs = F.expr("transform(slice(_t, 2, size(_t)), (b, i) -> struct(i AS pos, get(_t, i) AS a, b AS b))")
     return tokens.filter(F.size("_t") > 1).select(*keys, F.inline(pairs))
 
@@ -29,10 +38,14 @@ def pair_table(docs: DataFrame, text: Column, min_count: int = 5, least: float =
     """Pairs (a, b) that occur ``min_count`` times or more with a pointwise mutual information (base 2) of ``least``
     or more, with both.
 
-    Pairs and tokens are counted map-side first; rare pairs leave before they meet the counts of their tokens.
+    Texts are read once: a token is counted with its next one, the last of a text with null, so the counts of tokens
+    are sums of those of pairs. Pairs are counted map-side first; rare ones leave before they meet the counts of their tokens.
     """
-    counted = _pairs(docs, [], text).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
-    single = docs.select(F.explode(words(normalize_text(text))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("m"))
+    follow = F.expr("transform(_t, (a, i) -> struct(a AS a, get(_t, i + 1) AS b))")
+    every = docs.select(tokens_of(docs, text).alias("_t")).select(F.inline(follow)).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    every = staged(every, "pair-counts")
+    counted = every.filter(F.col("b").isNotNull() & (F.col("n") >= min_count))
+    single = every.groupBy(F.col("a").alias("token")).agg(F.sum("n").alias("m"))
     # A token of such a pair is as frequent as the pair, and all others are only needed for the total.
     frequent = single.filter(F.col("m") >= min_count)
     total = single.agg(F.sum("m").cast("double").alias("total")).scalar()
