@@ -39,10 +39,11 @@ def _finished(spark: SparkSession, base: str, part: str, fields: Sequence[tuple[
     return _stored(spark, base, part, fields).filter(F.col("load").isin(done))
 
 
-def _newest(spark: SparkSession, base: str, kinds: Sequence[tuple[str, T.DataType]]) -> DataFrame:
-    """Every key with the load that holds it now."""
-    held = _finished(spark, base, "held", kinds)
-    return held.groupBy(*[name for name, _ in kinds]).agg(F.max("load").alias("load"))
+def _replaced(spark: SparkSession, base: str, kinds: Sequence[tuple[str, T.DataType]]) -> DataFrame:
+    """Every key with the loads that no longer hold it, a small table next to all that is stored."""
+    names, held = [name for name, _ in kinds], _finished(spark, base, "held", kinds)
+    several = held.groupBy(*names).agg(F.max("load").alias("_now"), F.collect_list("load").alias("_loads")).filter(F.size("_loads") > 1)
+    return several.select(*names, "_now", F.explode("_loads").alias("load")).filter(F.col("load") < F.col("_now")).drop("_now")
 
 
 def _kinds(rows: DataFrame, keys: Sequence[str]) -> list[tuple[str, T.DataType]]:
@@ -53,27 +54,30 @@ def add_drop(docs: DataFrame, base: str, keys: Sequence[str], text: Column, load
     """Adds documents, which hold each key once, as load number ``load``; it must be the newest."""
     spark, kinds, key = docs.sparkSession, _kinds(docs, keys), list(keys)
     whole, _ = keyed(docs, keys)
-    fresh = staged(term_counts(whole, keys, text), "fresh-counts")
+    # Counts go to their place at once and are read there; until the keys are stored nobody else reads them.
+    term_counts(whole, keys, text).write.mode("overwrite").parquet(f"{base}/counts/load={load}")
+    counts = _stored(spark, base, "counts", [*kinds, *_COUNTS])
+    fresh = counts.filter(F.col("load") == load)
     mine = staged(whole.select(*keys), "fresh-keys")
     # Documents that this load replaces, with the load that holds them now.
     older = _finished(spark, base, "held", kinds).filter(F.col("load") < load)
     before = staged(existing(older, mine, keys, unique=True).groupBy(*keys).agg(F.max("load").alias("load")), "replaced")
     # The load's own folders are about to be replaced if it is repeated, so only older ones are read.
-    old = _stored(spark, base, "counts", [*kinds, *_COUNTS]).filter(F.col("load") < load).join(before, [*key, "load"], "left_semi")
+    old = counts.filter(F.col("load") < load).join(before, [*key, "load"], "left_semi")
     one = F.lit(1).cast("bigint")
     changes = fresh.select("token", one.alias("df")).unionByName(old.select("token", (-one).alias("df")))
     df = changes.groupBy("token").agg(F.sum("df").alias("df")).filter("df <> 0")
     n = mine.select(one.alias("n_docs")).unionByName(before.select((-one).alias("n_docs"))).agg(F.coalesce(F.sum("n_docs"), F.lit(0)).alias("n_docs"))
     # The keys come last: a load that dies before them is not read, and is repeated whole.
-    for part, rows in (("counts", fresh), ("df", df), ("n", n), ("held", mine)):
+    for part, rows in (("df", df), ("n", n), ("held", mine)):
         rows.write.mode("overwrite").parquet(f"{base}/{part}/load={load}")
 
 
 def current_counts(spark: SparkSession, base: str, kinds: Sequence[tuple[str, T.DataType]]) -> DataFrame:
     """Term counts of all documents as the newest of their loads has them."""
     names = [name for name, _ in kinds]
-    newest = _newest(spark, base, kinds)
-    return _stored(spark, base, "counts", [*kinds, *_COUNTS]).join(newest, [*names, "load"], "left_semi").select(*names, "token", "tf")
+    counts = _finished(spark, base, "counts", [*kinds, *_COUNTS])
+    return counts.join(_replaced(spark, base, kinds), [*names, "load"], "left_anti").select(*names, "token", "tf")
 
 
 def current_vocabulary(spark: SparkSession, base: str, stop_words=None, min_df: int = 2) -> DataFrame:
