@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,6 +14,7 @@ import corpus_pipeline
 from marketlens.llm import decontaminate, jaccard, mixing, sketch, substrings
 from marketlens.llm.common import gram_hashes, mixed, table
 from marketlens.llm.graph import components
+from marketlens.session import staged
 
 LONG = "word " * 60_000
 
@@ -106,6 +108,54 @@ def test_one_row_of_a_component_stays(documents, corpus):
     assert names <= set(ids)
 
 
+def test_a_full_sketch_stores_neither_sets_nor_texts(documents, monkeypatch):
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(f"w{w}" for w in rng.integers(0, 10**6, 400))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1] + " tail") for i in range(20)] + [(2000, rows[5][1]), (3, rows[3][1])]
+    stored, size = [], sum(len(t) for _, t in rows)
+
+    def recorded(df, label, by=None):
+        table = staged(df, label, by=by)
+        stored.append(sum(f.stat().st_size for f in Path(table._staged_at).rglob("*.parquet")))
+        return table
+
+    monkeypatch.setattr(jaccard, "MOST_WIDTH", 1 << 16)
+    monkeypatch.setattr(jaccard, "staged", recorded)
+    got = jaccard.jaccard_components(documents(rows))
+    assert order(tuple(r) for r in got.collect()) == order(brute_components(rows))
+    assert sum(stored) < size / 4
+    stored.clear()
+    kept = jaccard.keep_one(documents(rows))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(300))
+    assert sum(stored) < size / 4
+
+
+def test_rows_that_differ_in_nulls_only_are_not_taken_for_each_other(documents):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, "a", None), (2, text, None, "a"), (3, None, "a", None), (3, None, None, "a"), (1, text, "a", None)]
+    kept = jaccard.keep_one(documents(rows))
+    assert order((r.doc_id, r.text, r.lang, r.source) for r in kept.collect()) == order([rows[0], rows[2], rows[3]])
+
+
+def test_what_may_link_is_met():
+    rng = np.random.default_rng(5)
+    for _ in range(40):
+        base = rng.integers(0, 1 << 62, 90).astype(np.uint64)
+        sets = [np.unique(np.concatenate([base[rng.random(90) < rng.choice([0.3, 0.9, 1.0])], rng.integers(0, 1 << 62, rng.integers(3, 40)).astype(np.uint64)])) for _ in range(rng.integers(2, 14))]
+        sizes = [len(s) for s in sets]
+        n = len(sets)
+        pairs, chains = jaccard.met(np.full(n, 7, np.uint64), np.array(sizes, np.uint16), np.arange(n))
+        label = list(range(n))
+        for a, b in [*chains.tolist(), *pairs.tolist()]:
+            if (a, b) in {tuple(c) for c in chains.tolist()} or jaccard.may_link(jaccard.parity_marks(sets[a]), jaccard.parity_marks(sets[b]), sizes[a] + sizes[b]):
+                label = [label[a] if x == label[b] else x for x in label]
+        for a in range(n):
+            for b in range(a):
+                both = len(np.intersect1d(sets[a], sets[b]))
+                if 100 * both >= 75 * (sizes[a] + sizes[b] - both):
+                    assert label[a] == label[b]
+
+
 def test_jaccard_on_an_empty_table(documents):
     assert jaccard.jaccard_components(documents([]).limit(0)).collect() == []
     assert jaccard.keep_one(documents([(1, None)])).count() == 1
