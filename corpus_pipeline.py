@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from marketlens.llm import decontaminate, jaccard, mixing, rules, secrets
 from marketlens.llm.common import table
-from marketlens.session import staged
+from marketlens.session import discard, staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,5 +61,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        docs, replaced = staged(stage(spark, docs, sf_dir), name), docs
+        discard(replaced)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from marketlens import session
 from marketlens.llm import decontaminate, jaccard, mixing, sketch, substrings
 from marketlens.llm.common import gram_hashes, mixed, table
 from marketlens.llm.graph import components
@@ -156,6 +157,13 @@ def test_what_may_link_is_met():
                     assert label[a] == label[b]
 
 
+def test_the_pipeline_keeps_no_stage_that_is_read(spark, sf):
+    before = set(session._STAGED)
+    corpus_pipeline.run(spark, sf).count()
+    left = [p for p in session._STAGED if p not in before and re.search("/(quality_rules|near_duplicates|decontamination|secret_scan)-", p)]
+    assert [Path(p).name.rsplit("-", 1)[0] for p in left] == ["secret_scan"]
+
+
 def test_jaccard_on_an_empty_table(documents):
     assert jaccard.jaccard_components(documents([]).limit(0)).collect() == []
     assert jaccard.keep_one(documents([(1, None)])).count() == 1
