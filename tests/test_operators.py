@@ -1,8 +1,11 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
+from marketlens import session
 from marketlens.operators import checks, keys, load, profile, serving
-from marketlens.plans import catalogue, silver
+from marketlens.plans import catalogue, silver, warehouse
 from marketlens.schemas import WAREHOUSE, Column, ForeignKey, TableSpec
 from marketlens.sources import jdbc
 
@@ -184,3 +187,28 @@ def test_loads_store_only_columns_that_they_use(spark, monkeypatch):
         with pytest.raises(InterruptedError):
             catalogue.QUERIES[name](spark, "none")
         assert unused not in kept["silver-products"] and "brand_name" in kept["silver-products"]
+
+
+def test_warehouse_load_stores_only_columns_that_it_uses(spark, monkeypatch):
+    kept = {}
+
+    def stop(df, label, by=None):
+        kept[label] = df.columns
+        raise InterruptedError
+
+    empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in silver.PRODUCT_COLUMNS))
+    monkeypatch.setattr(catalogue, "staged", stop)
+    monkeypatch.setattr(catalogue, "_silver_products", lambda spark, sf: empty)
+    with pytest.raises(InterruptedError):
+        catalogue.QUERIES["warehouse_load"](spark, "none")
+    assert "seller_url" not in kept["silver-products"] and {"images_url", "authors", "brand_name"} <= set(kept["silver-products"])
+
+
+def test_a_load_leaves_no_batch_behind(spark):
+    base, before = session.fresh_path(spark, "dwh"), set(session._STAGED)
+    rows = spark.createDataFrame([("1", "a"), (None, "b")], "brand_id string, brand_name string")
+    warehouse.load_table(rows, WAREHOUSE["brands"], base)
+    assert not [p for p in session._STAGED if p not in before]
+    stored = [f.name for f in Path(base).rglob("*.parquet")]
+    assert stored and all(".zstd." in name for name in stored)
+    assert warehouse.read_rejects(spark, base).count() == warehouse.open_warehouse(spark, base)["brands"].count() == 1
